@@ -19,6 +19,9 @@ EncoderFactory = Callable[[], Encoder]
 # Fixed value: texts handed to an encoder at once.
 BATCH_SIZE = 64
 
+# Start of the error of every row whose encoder could not be built.
+NOT_STARTED = "encoder could not be started"
+
 
 def hash_encoder(dim: int) -> EncoderFactory:
     """Stand-in encoder without a model: bytes of the text's MD5 digest, scaled to [0, 1]."""
@@ -57,36 +60,32 @@ def embed(
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
     names = list(keys)
 
+    not_started = NOT_STARTED
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = None
-        broken = None
+        try:
+            encode, broken = factory(), None
+        except Exception as exc:
+            encode, broken = None, f"{not_started}: {exc}"
+        empty = np.empty(0, np.float32)
         for frame in frames:
             texts = frame["__text"].tolist()
-            vectors: list = []
-            errors: list = []
+            vectors, errors = [], []
             for at in range(0, len(texts), batch_size):
                 batch = texts[at : at + batch_size]
-                result: list = []
-                problem = broken
-                if problem is None:
+                found, problem = [], broken
+                if encode is not None:
                     try:
-                        if encoder is None:
-                            try:
-                                encoder = factory()
-                            except Exception as exc:
-                                broken = f"encoder could not be started: {exc}"
-                                raise
-                        result = [np.asarray(v, dtype=np.float32) for v in encoder(batch)][: len(batch)]
+                        found = [np.asarray(v, dtype=np.float32) for v in encode(batch)]
                     except Exception as exc:
-                        result = []
-                        problem = broken or f"encoder failed: {exc}"
-                result += [np.empty(0, np.float32)] * (len(batch) - len(result))
-                for vector in result:
-                    wrong = None if vector.shape == (dim,) else f"vector length {vector.size} is not {dim}"
-                    errors.append(problem or wrong)
-                    vectors.append(vector)
+                        found, problem = [], f"encoder failed: {exc}"
+                for k in range(len(batch)):
+                    vector = found[k] if k < len(found) else empty
+                    wrong = vector.shape != (dim,)
+                    errors.append(problem or (f"vector length {vector.size} is not {dim}" if wrong else None))
+                    vectors.append(empty if wrong else vector)
             out = frame[names].copy()
-            out["vector"] = vectors
+            out["vector"] = pd.Series(vectors, index=out.index, dtype=object)
             out["error"] = pd.Series(errors, index=out.index, dtype=object)
             yield out
 

@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from paperloom.functions.text import embed_text
 from paperloom.operators.backlog import backlog
-from paperloom.operators.embed import BATCH_SIZE, EncoderFactory, embed, embed_table
+from paperloom.operators.embed import BATCH_SIZE, NOT_STARTED, EncoderFactory, embed, embed_table
 from paperloom.operators.overlay import overlay
 from paperloom.operators.split import split_summary, split_tasks
 from paperloom.operators.status import (
+    MISSING_OUTPUT,
     MISSING_PAPER,
     TASK_KEYS,
     tasks_of_papers,
     unconfigured,
-    unprocessed,
 )
-from paperloom.schema import ModelSpec
+from paperloom.operators.years import touched_years
+from paperloom.schema import VECTOR_SCHEMA, ModelSpec
 from paperloom.session import cut_lineage, shared_dir
-from paperloom.sinks.tables import replace_years, write_artifacts, write_status, write_tasks
-from paperloom.sources.tables import read_artifacts, read_years
+from paperloom.sinks.tables import replace_years, write_artifacts, write_tasks
+from paperloom.sources.tables import read_years
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -38,7 +39,10 @@ def assign_backlog(
     retry_nan: bool = False,
     unique: bool = False,
 ) -> DataFrame:
-    """Find the backlog and split it. The backlog is written once and read by both passes of the split."""
+    """Find the backlog and split it.
+
+    The backlog is written once to the shared folder and read by both passes of the split.
+    """
     tasks = cut_lineage(backlog(papers, vectors, models, retry_nan), "backlog")
     return split_tasks(tasks, lists, max_per_list, seed, unique)
 
@@ -65,7 +69,7 @@ def backlog_and_split(
 
 @dataclass(frozen=True)
 class TaskRun:
-    """Result tables of a run: long vectors, and one status row per task."""
+    """Result tables of a run: its long vectors, and one status row per task."""
 
     vectors: DataFrame
     status: DataFrame
@@ -84,22 +88,98 @@ def run_tasks(
 ) -> TaskRun:
     """Embed the papers named by ``tasks`` and log every task as processed or failed.
 
-    One branch per registered model: papers are first cut to that model's tasks, then
-    spread over ``partitions`` encoder tasks, so each of these loads a single model. A
-    task fails when its model is not configured or its paper is not in the table. A text
-    that could not be embedded gets a NaN vector and counts as processed, or with
-    ``nan_failed`` as failed. Vectors are written to ``output`` once, and the log is made
-    from what was written.
+    Each configured model is one job: papers are first cut to that model's tasks, then
+    spread over ``partitions`` encoder tasks, which load this model only. Vectors are
+    appended to ``output`` once and the log is made from what was written there.
+
+    A task fails when its model is not configured, its paper is not in the table, or the
+    encoder did not start. A text that could not be embedded gets a NaN vector and counts
+    as processed, or with ``nan_failed`` as failed.
     """
     spark = papers.sparkSession
-    ready = [k for k, spec in models.items() if spec.name and spec.dimension and k in encoders]
-    path = output or shared_dir(spark, "vectors")
-    errors = shared_dir(spark, "embed-errors")
+    root = output or shared_dir(spark, "vectors")
     texts = papers.select("id", "year", embed_text().alias("text"))
-
-    for key in ready:
+    ready = {k: m for k, m in models.items() if m.name and m.dimension and k in encoders}
+    not_started = F.coalesce(F.startswith("error", F.lit(NOT_STARTED)), F.lit(False))
+    stopped: dict[str, str] = {}
+    for key, model in ready.items():
+        seen = Observation(f"embed-{key}")
         wanted = tasks_of_papers(texts, tasks.filter(F.col("model_key") == key))
-        done = embed(wanted, encoders[key], models[key].dimension, batch_size=batch_size, partitions=partitions)
-        done = done.withColumns({"model_key": F.lit(key), "seq": F.lit(seq).cast("bigint")})
-        done.write.mode("append").partitionBy("model_key", "year").option("compression", "zstd").parquet(errors)
-    raise NotImplementedError
+        done = embed(wanted, encoders[key], model.dimension, batch_size=batch_size, partitions=partitions)
+        done = done.observe(seen, F.max(F.when(not_started, F.col("error"))).alias("problem"))
+        done = done.filter(~not_started)
+        write_artifacts(done.withColumns({"model_key": F.lit(key), "seq": F.lit(seq).cast("bigint")}), root)
+        if seen.get["problem"]:
+            stopped[key] = seen.get["problem"]
+
+    written = spark.read.schema(VECTOR_SCHEMA).parquet(root) if ready else spark.createDataFrame([], VECTOR_SCHEMA)
+    written = written.filter(F.col("seq") == seq)
+    return TaskRun(written, task_status(tasks, papers, written, ready, stopped, root, nan_failed))
+
+
+def task_status(
+    tasks: DataFrame,
+    papers: DataFrame,
+    written: DataFrame,
+    ready: Mapping[str, ModelSpec],
+    stopped: Mapping[str, str],
+    root: str,
+    nan_failed: bool = False,
+) -> DataFrame:
+    """One row per task: processed, or failed with the reason."""
+    produced = written.groupBy(*TASK_KEYS).agg(F.max("error").alias("__error"))
+    known = papers.select("id", "year").distinct().withColumn("__known", F.lit(True))
+    joined = (
+        tasks.select(*TASK_KEYS)
+        .join(produced.withColumn("__done", F.lit(True)), list(TASK_KEYS), "left")
+        .join(known, ["id", "year"], "left")
+    )
+    absent = F.col("__done").isNull()
+    reason = F.when(~F.col("model_key").isin(list(ready)), unconfigured())
+    reason = reason.when(absent & F.col("__known").isNull(), F.lit(MISSING_PAPER))
+    for key, problem in stopped.items():
+        reason = reason.when(absent & (F.col("model_key") == key), F.lit(problem))
+    reason = reason.when(absent, F.lit(MISSING_OUTPUT))
+    if nan_failed:
+        reason = reason.otherwise(F.col("__error"))
+    failed = F.col("error").isNotNull()
+    return joined.select(*TASK_KEYS, reason.alias("error")).select(
+        *TASK_KEYS,
+        F.when(failed, "failed").otherwise("processed").alias("status"),
+        "error",
+        F.when(~failed, F.lit(root)).alias("output"),
+    )
+
+
+def embed_whole(
+    papers: DataFrame,
+    factory: EncoderFactory,
+    key: str,
+    dim: int,
+    output: str,
+    batch_size: int = BATCH_SIZE,
+    partitions: int | None = None,
+    title: str = "title",
+    abstract: str = "abstract",
+) -> None:
+    """Embed every row of a table and write it with all its columns."""
+    done = embed_table(papers, factory, key, dim, title, abstract, batch_size, partitions)
+    done.write.mode("overwrite").option("compression", "zstd").parquet(output)
+
+
+def merge_artifacts(
+    spark: SparkSession,
+    root: str,
+    artifacts: DataFrame,
+    model_keys: Sequence[str],
+    ignore_nan: bool = False,
+) -> int:
+    """Overlay long artifacts onto the wide yearly table. Returns the rows rewritten.
+
+    Only years that have artifacts are read and replaced.
+    """
+    years = touched_years(artifacts)
+    if not years:
+        return 0
+    papers = read_years(spark, root, years)
+    return replace_years(overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan), root)

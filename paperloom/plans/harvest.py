@@ -13,10 +13,10 @@ from paperloom.operators.dedup import keep_first, latest
 from paperloom.operators.upsert import merge_latest
 from paperloom.operators.years import with_year
 from paperloom.schema import PAPER_COLUMNS
-from paperloom.sinks.tables import is_table, replace_years, write_snapshot
+from paperloom.sinks.tables import replace_years, write_snapshot
 from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
 from paperloom.sources.rss import normalize_rss, read_rss
-from paperloom.sources.tables import read_years
+from paperloom.sources.tables import is_table, read_years
 
 
 def parse_pages(

@@ -14,8 +14,8 @@ from paperloom.operators.upsert import change_counts, merge_parts, replaced_keys
 from paperloom.operators.years import split_valid, touched_years, with_year
 from paperloom.schema import ModelSpec
 from paperloom.session import cut_lineage
-from paperloom.sinks.tables import is_table, replace_years, write_artifacts
-from paperloom.sources.tables import read_years
+from paperloom.sinks.tables import replace_years, write_artifacts
+from paperloom.sources.tables import is_table, read_years
 
 KEYS = ("id", "year")
 

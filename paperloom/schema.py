@@ -34,6 +34,7 @@ VECTOR_SCHEMA = T.StructType(
         T.StructField("model_key", T.StringType()),
         T.StructField("vector", T.ArrayType(T.FloatType())),
         T.StructField("vector_sum", T.DoubleType()),
+        T.StructField("error", T.StringType()),
         T.StructField("seq", T.LongType()),
     ]
 )
@@ -56,6 +57,12 @@ STATUS_SCHEMA = T.StructType(
 )
 
 
+def yearly_schema(model_keys: Iterable[str] = ()) -> T.StructType:
+    """Stored schema of the yearly table, with one vector column per model."""
+    models = [T.StructField(key, T.ArrayType(T.FloatType())) for key in model_keys]
+    return T.StructType([*PAPER_SCHEMA.fields, *models, T.StructField("year", T.IntegerType())])
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     """One embedding model: its column key, the encoder's name and the vector length."""

@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from paperloom.operators.status import failure_head, failure_top, task_summary
+from paperloom.schema import VECTOR_SCHEMA
 from paperloom.session import shared_dir
 
 
-def is_table(spark: SparkSession, path: str) -> bool:
-    """Whether a non-empty folder exists at ``path`` on the table's file system."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path) and len(fs.listStatus(jvm_path)) > 0
-
-
 def _sorted_by_year(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("year", "id").sortWithinPartitions("year", "id")
 
@@ -87,9 +81,16 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
 
 
 def write_artifacts(vectors: DataFrame, root: str, mode: str = "append") -> None:
-    """Write ``(id, vector, vector_sum, seq)`` rows below ``model_key`` and ``year`` folders."""
-    columns = ["id", "vector", "vector_sum", "seq", "model_key", "year"]
-    vectors.select(*columns).write.mode(mode).partitionBy("model_key", "year").option(
+    """Write long vector rows below ``model_key`` and ``year`` folders.
+
+    Columns of the vector schema that ``vectors`` lacks are written as null.
+    """
+    partitions = ["model_key", "year"]
+    columns = [
+        (F.col(f.name) if f.name in vectors.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in sorted(VECTOR_SCHEMA, key=lambda f: f.name in partitions)
+    ]
+    vectors.select(*columns).write.mode(mode).partitionBy(*partitions).option(
         "compression", "zstd"
     ).parquet(root)
 

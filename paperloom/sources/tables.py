@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.text import _col
-from paperloom.schema import TASK_SCHEMA
+from paperloom.schema import TASK_SCHEMA, yearly_schema
 
 # How artifact and task files are named.
 ARTIFACT_NAME = r"embedded-([0-9]+)\.parquet-(.+?)\.parquet"
@@ -15,10 +15,32 @@ ARTIFACT_GLOB = "matrix-output-*/embedded-*.parquet-{key}.parquet"
 MATRIX_NAME = r"matrix-output-([0-9]+)"
 
 
-def read_years(spark: SparkSession, root: str, years: Iterable[int] | None = None) -> DataFrame:
-    """The yearly table at ``root``; ``years`` prunes partitions."""
-    table = spark.read.option("mergeSchema", "false").parquet(root)
-    return table if years is None else table.filter(F.col("year").isin(list(years)))
+def is_table(spark: SparkSession, path: str) -> bool:
+    """Whether a non-empty folder exists at ``path`` on the table's file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(folder) and len(fs.listStatus(folder)) > 0
+
+
+def read_years(
+    spark: SparkSession,
+    root: str,
+    years: Iterable[int] | None = None,
+    model_keys: Iterable[str] | None = None,
+) -> DataFrame:
+    """The yearly table at ``root``, or only the folders of ``years``.
+
+    Years may differ in their model columns; the result has those of all files read, and
+    nulls where a file lacks one. Naming ``model_keys`` fixes the schema instead, which
+    saves reading the file footers first.
+    """
+    reader = spark.read.option("basePath", root).option("mergeSchema", "true")
+    if model_keys is not None:
+        reader = reader.schema(yearly_schema(model_keys))
+    if years is None:
+        return reader.parquet(root)
+    folders = [f"{root}/year={y}" for y in years if is_table(spark, f"{root}/year={y}")]
+    return reader.parquet(*folders) if folders else reader.parquet(root).limit(0)
 
 
 def artifact_year(name: Column | str) -> Column:
@@ -56,11 +78,9 @@ def read_artifacts(spark: SparkSession, root: str, model_keys: Iterable[str]) ->
 
 
 def read_tasks(spark: SparkSession, path: str, matrix_id: int | None = None) -> DataFrame:
-    """Task lists written by the split, one JSON object per line, optionally only one list."""
-    tasks = spark.read.schema(TASK_SCHEMA).json(path) if matrix_id is None else spark.read.schema(
-        TASK_SCHEMA
-    ).json(f"{path}/matrix_id={matrix_id}")
-    return tasks
+    """Tasks written by the split, one JSON object per line; ``matrix_id`` selects one list."""
+    source = path if matrix_id is None else f"{path}/matrix_id={matrix_id}"
+    return spark.read.schema(TASK_SCHEMA).json(source)
 
 
 def read_task_array(spark: SparkSession, path: str) -> DataFrame:
