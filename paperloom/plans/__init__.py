@@ -1,7 +1,7 @@
 """User-level jobs, composed from sources, operators and sinks."""
 
 from paperloom.plans.embedding import backlog_and_split, embed_whole, merge_artifacts, run_tasks
-from paperloom.plans.harvest import harvest_feed, harvest_window, harvest_year
+from paperloom.plans.harvest import harvest_feed, harvest_window, harvest_years
 from paperloom.plans.merge import merge_increment, upsert_years
 
 __all__ = [
@@ -9,7 +9,7 @@ __all__ = [
     "embed_whole",
     "harvest_feed",
     "harvest_window",
-    "harvest_year",
+    "harvest_years",
     "merge_artifacts",
     "merge_increment",
     "run_tasks",

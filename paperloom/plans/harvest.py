@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_request
+from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_of, year_request
 from paperloom.functions.text import in_categories
 from paperloom.operators.dedup import keep_first, latest
 from paperloom.operators.upsert import merge_latest
-from paperloom.operators.years import with_year
+from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
 from paperloom.sinks.tables import replace_years, write_snapshot
 from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
@@ -24,18 +24,23 @@ def parse_pages(
     path: str | list[str],
     window: tuple[dt.date, dt.date] | None = None,
     categories: Sequence[str] = (),
+    year: int | None = None,
 ) -> DataFrame:
-    """Latest version of every valid paper in the landed pages.
+    """Latest version per id and year of the valid papers in the landed pages.
 
     The pages are usually the answer to a request for a window and categories; both are
-    applied again here, the window to ``date``, for pages landed without them.
+    applied again here. Requests select by the record's datestamp, and so do the window
+    and the ``year`` column; a record without one is kept and gets ``year``.
     """
-    papers = normalize_oai(read_oai(spark, path), F.col("page"))
+    stamp = F.col("datestamp")
+    pages = read_oai(spark, path)
+    papers = normalize_oai(pages, F.col("header.datestamp").alias("datestamp"), "page")
     if categories:
         papers = papers.filter(in_categories("categories", list(categories)))
     if window:
-        papers = papers.filter(within("date", window))
-    return latest(papers, tie=("page",)).select(*PAPER_COLUMNS)
+        papers = papers.filter(stamp.isNull() | within(stamp, window))
+    dated = papers.withColumn("year", F.coalesce(year_of(stamp, BOTH_FORMATS), F.lit(year).cast("int")))
+    return latest(dated, ("id", "year"), tie=("page",)).select(*PAPER_COLUMNS, "year")
 
 
 def require_complete(spark: SparkSession, path: str | list[str]) -> None:
@@ -50,30 +55,34 @@ def require_complete(spark: SparkSession, path: str | list[str]) -> None:
         raise RuntimeError(f"incomplete harvest: {[tuple(row) for row in broken]}")
 
 
-def harvest_year(
+def harvest_years(
     spark: SparkSession,
     path: str | list[str],
     root: str,
-    year: int,
+    years: Sequence[int],
     today: dt.date,
     categories: Sequence[str] = (),
     mode: str = "replace",
     check_complete: bool = True,
 ) -> int:
-    """Build one year of the table from its landed pages. Returns the year's rows, 0 if none.
+    """Build years of the table from their landed pages, in one job. Returns rows written.
 
-    ``replace`` rebuilds the year and so needs a complete harvest; ``merge`` keeps papers
+    ``replace`` rebuilds a year and so needs a complete harvest; ``merge`` keeps papers
     of the existing year that the harvest lacks, and the later version of those in both.
+    Years without a record stay as they are.
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"mode must be replace or merge, not {mode}")
     if mode == "replace" and check_complete:
         require_complete(spark, path)
-    papers = parse_pages(spark, path, year_request(year, today), categories)
+    window = (year_request(min(years), today)[0], year_request(max(years), today)[1])
+    only = years[0] if len(years) == 1 else None
+    papers = parse_pages(spark, path, window, categories, only)
+    papers = papers.filter(F.col("year").isin(list(years)))
     if mode == "merge" and is_table(spark, root):
-        before = read_years(spark, root, [year]).select(*PAPER_COLUMNS)
-        papers = merge_latest(before, papers)
-    return replace_years(with_year(papers, year), root)
+        before = read_years(spark, root, years).select(*PAPER_COLUMNS, "year")
+        papers = merge_latest(before, papers, ("id", "year"))
+    return replace_years(papers, root)
 
 
 def harvest_window(
@@ -90,21 +99,28 @@ def harvest_window(
     An empty window still writes a table with the paper schema.
     """
     papers = parse_pages(spark, path, request_window(until, days, start), categories)
-    return write_snapshot(papers, output)
+    newest = latest(papers, tie=("year",)).select(*PAPER_COLUMNS)
+    return write_snapshot(newest, output)
 
 
 def parse_feeds(
-    spark: SparkSession, path: str | list[str], cut: str = "version", updated_from_published: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    cut: str = "version",
+    updated_from_published: bool = True,
+    feed: Column | None = None,
 ) -> DataFrame:
-    """First entry of every paper in the landed feeds, feeds in name order.
+    """First entry of every paper in the landed feeds, in the order of ``feed``.
 
-    An entry has no position once it is read in parallel, so copies of a paper within one
-    feed are told apart by date, then by content.
+    ``feed`` is the file's path unless given. An entry has no position once it is read in
+    parallel, so copies of a paper within one feed are told apart by date, then link.
     """
+    order = (F.col("feed") if feed is None else feed).alias("__feed")
+    items = read_rss(spark, path)
     papers = normalize_rss(
-        read_rss(spark, path), F.col("feed"), cut=cut, updated_from_published=updated_from_published
+        items, order, "link", cut=cut, updated_from_published=updated_from_published
     )
-    return keep_first(papers, arrival=("feed", "date")).select(*PAPER_COLUMNS)
+    return keep_first(papers, arrival=("__feed", "date", "link")).select(*PAPER_COLUMNS)
 
 
 def harvest_feed(

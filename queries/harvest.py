@@ -1 +1,115 @@
-"""Placeholder."""
+"""Landed pages and feeds, read back, checked and harvested."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from paperloom.plans import harvest_window, harvest_years
+from paperloom.plans.harvest import parse_feeds
+from paperloom.session import shared_dir
+from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
+from paperloom.sources.rss import normalize_rss, read_rss
+from paperloom.sources.tables import read_years
+from queries import query
+from queries.derived import with_papers
+from queries.landing import STAMP, land_feeds, land_pages
+from queries.normalize import sql_strip
+
+SQL_FLAT = sql_strip("replace(coalesce({c}, ''), chr(10), ' ')")
+SQL_AUTHORS = (
+    "array_to_string(list_filter(list_transform(string_split(coalesce(title, ''), ' '), lambda w: "
+    + sql_strip("(case when w like '%.' then '' else lang end) || ' ' || w")
+    + "), lambda n: n <> ''), '|')"
+)
+SQL_PAPER = (
+    f"id, {SQL_FLAT.format(c='title')} as title, {SQL_AUTHORS} as authors, {SQL_FLAT.format(c='abstract')} as abstract, "
+    "coalesce(updated, created) as date, replace(categories_raw, ' ', '|') as categories, created, updated"
+)
+
+
+def flat(df, *extra):
+    """Paper columns with arrays as text."""
+    return df.select(
+        *extra, "id", "title", F.array_join("authors", "|").alias("authors"), "abstract", "date",
+        F.array_join("categories", "|").alias("categories"), "created", "updated",
+    )
+
+
+SCAN_SQL = with_papers(f"select 'oai:' || seq as identifier, {SQL_PAPER} from papers where source <> 'src3'")
+
+
+@query("s1_oai_scan", SCAN_SQL)
+def s1_oai_scan(spark, sf_dir):
+    records = read_oai(spark, land_pages(spark, sf_dir))
+    return flat(normalize_oai(records, F.col("header.identifier").alias("identifier")), "identifier")
+
+
+@query(
+    "s2_harvest_complete",
+    "select lang as source, count(*) as record_count, count(*) + case when lang = 'de' then 5 else 0 end as list_size, "
+    "lang not in ('de', 'es') as complete from documents group by lang",
+)
+def s2_harvest_complete(spark, sf_dir):
+    root = land_pages(spark, sf_dir)
+    folder = F.regexp_extract("page", r"/lang=([^/]+)/", 1)
+    return harvest_complete(read_oai(spark, root), read_envelope(spark, root), folder)
+
+
+@query(
+    "x1_harvest",
+    with_papers(
+        f"select year, {SQL_PAPER} from (select *, row_number() over (partition by id, year "
+        "order by updated desc nulls last) as rn from (select *, "
+        f"year(({STAMP})::date)::int as year from papers where source <> 'src3')) where rn = 1"
+    ),
+)
+def x1_harvest(spark, sf_dir):
+    """The whole job: all landed years, deduplicated per year and written."""
+    root = shared_dir(spark, "q-harvest")
+    pages = land_pages(spark, sf_dir, trailers=False)
+    harvest_years(spark, pages, root, list(range(2017, 2026)), today=dt.date(2025, 6, 30))
+    return flat(read_years(spark, root), "year")
+
+
+@query(
+    "x2_harvest_window",
+    with_papers(
+        f"select {SQL_PAPER} from (select *, row_number() over (partition by id order by updated desc nulls last) as rn "
+        f"from papers where source <> 'src3' and {STAMP} between '2020-03-01' and '2021-02-28') where rn = 1"
+    ),
+)
+def x2_harvest_window(spark, sf_dir):
+    output = shared_dir(spark, "q-window")
+    pages = land_pages(spark, sf_dir, trailers=False)
+    harvest_window(spark, pages, output, until=dt.date(2021, 2, 28), start=dt.date(2020, 3, 1))
+    return flat(spark.read.parquet(output))
+
+
+SQL_FEED_STAMP = "strftime(try_strptime(created, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%dT%H:%M:%SZ')"
+SQL_ITEM = (
+    f"id, {SQL_FLAT.format(c='title')} as title, source || '|' || lang as authors, "
+    f"{SQL_FLAT.format(c='abstract')} as abstract, stamp as date, replace(categories_raw, ' ', '|') as categories, "
+    "stamp as created, stamp as updated"
+)
+
+
+@query(
+    "s3_rss_scan",
+    with_papers(f"select {SQL_ITEM} from (select *, {SQL_FEED_STAMP} as stamp from papers) where source <> 'src3'"),
+)
+def s3_rss_scan(spark, sf_dir):
+    return flat(normalize_rss(read_rss(spark, land_feeds(spark, sf_dir))))
+
+
+@query(
+    "x3_rss",
+    with_papers(
+        f"select {SQL_ITEM} from (select *, row_number() over (partition by id order by lang, stamp nulls first, seq::varchar) as rn "
+        f"from (select *, {SQL_FEED_STAMP} as stamp from papers) where source <> 'src3') where rn = 1"
+    ),
+)
+def x3_rss(spark, sf_dir):
+    feeds = land_feeds(spark, sf_dir)
+    return flat(parse_feeds(spark, feeds, feed=F.regexp_extract("feed", r"/feed=([^/]+)/", 1)))

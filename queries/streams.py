@@ -1 +1,60 @@
-"""Placeholder."""
+"""Streams over landed files, driven until no file is left."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from paperloom.session import shared_dir
+from paperloom.sources.tables import read_years
+from paperloom.streaming import drop_redelivered, stream_oai, stream_table, upsert_stream
+from queries import query
+from queries.derived import papers, table, with_papers
+from queries.harvest import SQL_PAPER, flat
+from queries.landing import land_pages
+
+
+def _drain(stream, output: str, checkpoint: str) -> None:
+    query_ = (
+        stream.writeStream.format("parquet")
+        .option("path", output)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query_.awaitTermination()
+
+
+@query("st1_stream_ingest", with_papers(f"select {SQL_PAPER} from papers where source <> 'src3'"))
+def st1_stream_ingest(spark, sf_dir):
+    output = shared_dir(spark, "q-ingested")
+    pages = land_pages(spark, sf_dir, trailers=False)
+    _drain(stream_oai(spark, pages), output, shared_dir(spark, "q-ingest-state"))
+    return flat(spark.read.parquet(output))
+
+
+@query(
+    "st2_stream_upsert",
+    with_papers(
+        "select id, 2024 as year, title, updated from (select *, row_number() over "
+        "(partition by id order by updated desc nulls last) as rn from papers) where rn = 1"
+    ),
+)
+def st2_stream_upsert(spark, sf_dir):
+    """Papers arrive in four files and two micro-batches; the end state equals one batch."""
+    landed, root = shared_dir(spark, "q-batches"), shared_dir(spark, "q-upserted")
+    rows = papers(spark, sf_dir).select("id", "title", "updated", "created")
+    rows.repartition(4).write.parquet(landed)
+    stream = stream_table(spark, landed, rows.schema, max_files=2)
+    upsert_stream(stream, root, shared_dir(spark, "q-upsert-state"), rule=2024, keep="latest").awaitTermination()
+    return read_years(spark, root).select("id", "year", "title", "updated")
+
+
+@query("st3_stream_dedup", "select event_id, user_id, event_type from events")
+def st3_stream_dedup(spark, sf_dir):
+    """All events are delivered twice."""
+    landed, output = shared_dir(spark, "q-delivered"), shared_dir(spark, "q-distinct")
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.unionByName(events).write.parquet(landed)
+    stream = drop_redelivered(stream_table(spark, landed, events.schema), "ts", ("event_id", "ts"))
+    _drain(stream, output, shared_dir(spark, "q-distinct-state"))
+    return spark.read.parquet(output).select("event_id", "user_id", "event_type")
