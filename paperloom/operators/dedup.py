@@ -18,9 +18,14 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row of each key under ``order``; remaining ties go by row hash."""
-    window = Window.partitionBy(*keys).orderBy(*order, row_hash(df))
+def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], total: bool = False) -> DataFrame:
+    """Keep the first row of each key under ``order``.
+
+    Remaining ties go by row hash, unless ``total`` promises that there are none; the
+    hash reads every column, so the promise keeps unused ones out of the scan.
+    """
+    tail = [] if total else [row_hash(df)]
+    window = Window.partitionBy(*keys).orderBy(*order, *tail)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
@@ -34,23 +39,24 @@ def latest(
     """Keep the row with the greatest ``order`` value per key.
 
     ``nulls`` says whether a missing value loses (``last``) or wins (``first``). Equal
-    values are decided by ``tie`` ascending, then by row hash.
+    values are decided by ``tie`` ascending, whose columns must tell all rows of a key
+    apart; without ``tie`` they are decided by row hash.
     """
     if nulls not in ("first", "last"):
         raise ValueError(f"nulls must be first or last, not {nulls}")
     column = F.col(order)
     placed = column.desc_nulls_last() if nulls == "last" else column.desc_nulls_first()
-    return first_by(df, keys, [placed, *[F.col(t).asc() for t in tie]])
+    return first_by(df, keys, [placed, *[F.col(t).asc() for t in tie]], total=bool(tie))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str] = ("id",), arrival: Sequence[str] = ("seq",)) -> DataFrame:
-    """Keep the row that arrived first per key."""
-    return first_by(df, keys, [F.col(c).asc() for c in arrival])
+    """Keep the row that arrived first per key; ``arrival`` tells all rows of a key apart."""
+    return first_by(df, keys, [F.col(c).asc() for c in arrival], total=bool(arrival))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str] = ("id",), arrival: Sequence[str] = ("seq",)) -> DataFrame:
-    """Keep the row that arrived last per key."""
-    return first_by(df, keys, [F.col(c).desc() for c in arrival])
+    """Keep the row that arrived last per key; without ``arrival`` the row hash decides."""
+    return first_by(df, keys, [F.col(c).desc() for c in arrival], total=bool(arrival))
 
 
 def new_wins(
@@ -59,15 +65,18 @@ def new_wins(
     keys: Sequence[str] = ("id",),
     arrival: Sequence[str] = ("seq",),
     existing_keyed: bool = False,
+    new_keyed: bool = False,
 ) -> DataFrame:
     """Union of both sides with one row per key: new before existing, later before earlier.
 
     ``existing_keyed`` promises that the existing side already has unique keys. It is
     then only filtered by the new keys and, for a small batch, never shuffled.
+    ``new_keyed`` promises the same of the new side.
     """
     if existing_keyed:
-        batch = keep_last(new, keys, arrival)
+        batch = new if new_keyed else keep_last(new, keys, arrival)
         kept = existing.join(batch.select(*keys), list(keys), "left_anti")
         return kept.unionByName(batch)
     both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-    return keep_last(both, keys, ["__new", *arrival]).drop("__new")
+    order = [F.col(c).desc() for c in ["__new", *arrival]]
+    return first_by(both, keys, order, total=bool(arrival)).drop("__new")

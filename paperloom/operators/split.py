@@ -84,18 +84,19 @@ def split_tasks(
     unique: bool = False,
     bucket_digits: int = 3,
 ) -> DataFrame:
-    """Assign tasks to at most ``lists`` work lists of equal size (the last may be shorter).
+    """Assign tasks to at most ``lists`` work lists of equal size; the last may be shorter.
 
     Adds ``matrix_id`` and keeps ``task_rank`` and ``task_total``. With ``max_per_list``
     the tasks beyond ``lists * max_per_list`` wait for a later run and are left out here.
     """
-    per_list = F.ceil(F.col("task_total") / F.lit(lists))
+    if lists < 1 or (max_per_list is not None and max_per_list < 1):
+        raise ValueError("lists and max_per_list must be at least 1")
+    per_list = F.expr(f"(task_total + {int(lists)} - 1) div {int(lists)}")
     if max_per_list is not None:
         per_list = F.least(per_list, F.lit(max_per_list).cast("bigint"))
     ranked = rank_tasks(tasks, seed, unique, bucket_digits).withColumn("__per", per_list)
     assigned = ranked.filter(F.col("task_rank") < F.col("__per") * lists)
-    matrix = F.floor(F.col("task_rank") / F.col("__per")).cast("int")
-    return assigned.withColumn("matrix_id", matrix).drop("__per")
+    return assigned.withColumn("matrix_id", F.expr("cast(task_rank div __per as int)")).drop("__per")
 
 
 def split_summary(assigned: DataFrame) -> DataFrame:

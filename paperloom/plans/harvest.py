@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_of, year_request
 from paperloom.functions.text import in_categories
-from paperloom.operators.dedup import keep_first, latest
+from paperloom.operators.dedup import first_by, latest
 from paperloom.operators.upsert import merge_latest
 from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
@@ -40,7 +40,7 @@ def parse_pages(
     if window:
         papers = papers.filter(stamp.isNull() | within(stamp, window))
     dated = papers.withColumn("year", F.coalesce(year_of(stamp, BOTH_FORMATS), F.lit(year).cast("int")))
-    return latest(dated, ("id", "year"), tie=("page",)).select(*PAPER_COLUMNS, "year")
+    return latest(dated, ("id", "year")).select(*PAPER_COLUMNS, "year")
 
 
 def require_complete(spark: SparkSession, path: str | list[str]) -> None:
@@ -99,7 +99,7 @@ def harvest_window(
     An empty window still writes a table with the paper schema.
     """
     papers = parse_pages(spark, path, request_window(until, days, start), categories)
-    newest = latest(papers, tie=("year",)).select(*PAPER_COLUMNS)
+    newest = latest(papers).select(*PAPER_COLUMNS)
     return write_snapshot(newest, output)
 
 
@@ -113,14 +113,15 @@ def parse_feeds(
     """First entry of every paper in the landed feeds, in the order of ``feed``.
 
     ``feed`` is the file's path unless given. An entry has no position once it is read in
-    parallel, so copies of a paper within one feed are told apart by date, then link.
+    parallel, so copies of a paper within one feed are told apart by date, link, then content.
     """
     order = (F.col("feed") if feed is None else feed).alias("__feed")
     items = read_rss(spark, path)
     papers = normalize_rss(
         items, order, "link", cut=cut, updated_from_published=updated_from_published
     )
-    return keep_first(papers, arrival=("__feed", "date", "link")).select(*PAPER_COLUMNS)
+    arrival = [F.col(c).asc() for c in ("__feed", "date", "link")]
+    return first_by(papers, ("id",), arrival).select(*PAPER_COLUMNS)
 
 
 def harvest_feed(

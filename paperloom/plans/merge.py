@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.operators.align import united
@@ -31,14 +31,19 @@ def upserted(
     """The touched years after an upsert: batch rows beat existing ones, later beat earlier.
 
     Both sides carry ``year`` and are brought to one schema that keeps every column of
-    either side. ``arrival`` orders the batch and is dropped from the result.
+    either side. ``arrival`` orders the batch; those of its columns that the table does
+    not have are dropped.
     """
-    order = [c for c in arrival if c not in existing.columns]
-    newest = keep_last(batch, KEYS, arrival).drop(*order)
+    newest = newest_of(batch, arrival, existing.columns)
     old, new = united(existing, newest, models, fill)
     return new_wins(old, new, KEYS, (), existing_keyed)
 
 
+def newest_of(batch: DataFrame, arrival: Sequence[str], stored: Sequence[str]) -> DataFrame:
+    """One row per key of a batch, without arrival columns that are not stored."""
+    return keep_last(batch, KEYS, arrival).drop(*[c for c in arrival if c not in stored])
+
+
 @dataclass(frozen=True)
 class UpsertResult:
     years: list[int]
@@ -59,21 +64,27 @@ def upsert_years(
 ) -> UpsertResult:
     """Assign years to a batch and upsert them into the table at ``root``.
 
-    Only the years in the batch are read and rewritten. Rows without a year go to
-    ``quarantine`` if given; their number is reported either way.
+    Only the years in the batch are read and rewritten. Rows without a year are counted,
+    and appended to ``quarantine`` if given.
     """
-    dated = cut_lineage(with_year(batch, rule, formats), "upsert-batch")
+    seen = Observation("batch")
+    dated = with_year(batch, rule, formats)
     valid, invalid = split_valid(dated)
-    rows_invalid = invalid.count()
+    # One pass over the batch: count the invalid rows, keep the newest valid ones.
+    counted, _ = split_valid(dated.observe(seen, F.count_if(F.col("year").isNull()).alias("invalid")))
+    known = read_years(spark, root) if is_table(spark, root) else None
+    stored = [c for c in valid.columns if c not in arrival] if known is None else known.columns
+    newest = cut_lineage(newest_of(counted, arrival, stored), "upsert-batch")
+    rows_invalid = seen.get["invalid"]
     if quarantine and rows_invalid:
         invalid.write.mode("append").parquet(quarantine)
-    years = sorted(touched_years(valid))
+    years = sorted(touched_years(newest))
     if not years:
         return UpsertResult([], 0, rows_invalid)
-    if is_table(spark, root):
-        merged = upserted(read_years(spark, root, years), valid, arrival, models, fill)
-    else:
-        merged = keep_last(valid, KEYS, arrival).drop(*arrival)
+    merged = newest
+    if known is not None:
+        old, new = united(read_years(spark, root, years), newest, models, fill)
+        merged = new_wins(old, new, KEYS, (), existing_keyed=True, new_keyed=True)
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 
