@@ -14,7 +14,7 @@ RECORD_SCHEMA = (
     "authors:struct<author:array<struct<keyname:string,forenames:string>>>,"
     "title:string,categories:string,license:string,abstract:string>>"
 )
-TOKEN_SCHEMA = "_VALUE string, _completeListSize bigint"
+TOKEN_SCHEMA = "_VALUE string, _completeListSize string"
 ERROR_SCHEMA = "_VALUE string, _code string"
 NO_RECORDS = "noRecordsMatch"
 
@@ -39,7 +39,7 @@ def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
     tokens = _elements(spark, path, "resumptionToken", TOKEN_SCHEMA).select(
         page,
         token.alias("token"),
-        F.col("_completeListSize").alias("list_size"),
+        F.col("_completeListSize").try_cast("bigint").alias("list_size"),
         none.alias("error_code"),
         none.alias("error_text"),
     )
@@ -57,17 +57,24 @@ def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) ->
     """Per harvested list: records found, announced size, and whether the harvest is whole.
 
     ``source`` names the list a page belongs to. A list is whole when no page reported an
-    error other than an empty result, and the announced size, if any, was reached.
+    error other than an empty result, the announced size, if any, was reached, and not
+    every page asks for another one.
     """
-    found = records.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("record_count"))
+    found = records.groupBy("page").agg(F.count(F.lit(1)).alias("record_count"))
     failed = F.col("error_code").isNotNull() & (F.col("error_code") != NO_RECORDS)
-    announced = envelope.groupBy(source.alias("source")).agg(
-        F.max("list_size").alias("list_size"), F.bool_or(failed).alias("failed")
+    trailers = envelope.groupBy("page").agg(
+        F.max("list_size").alias("list_size"),
+        F.bool_or(failed).alias("failed"),
+        F.bool_or(F.col("token").isNotNull()).alias("continued"),
     )
-    both = found.join(announced, ["source"], "full_outer")
-    count = F.coalesce(F.col("record_count"), F.lit(0).cast("bigint"))
-    whole = ~F.coalesce(F.col("failed"), F.lit(False)) & (count >= F.coalesce(F.col("list_size"), count))
-    return both.select("source", count.alias("record_count"), "list_size", whole.alias("complete"))
+    lists = found.join(trailers, ["page"], "full_outer").groupBy(source.alias("source")).agg(
+        F.coalesce(F.sum("record_count"), F.lit(0).cast("bigint")).alias("record_count"),
+        F.max("list_size").alias("list_size"),
+        F.coalesce(F.bool_or("failed"), F.lit(False)).alias("failed"),
+        (F.count_if("continued") < F.count(F.lit(1))).alias("ended"),
+    )
+    reached = F.col("record_count") >= F.coalesce("list_size", "record_count")
+    return lists.select("source", "record_count", "list_size", (~F.col("failed") & reached & F.col("ended")).alias("complete"))
 
 
 def valid_records(records: DataFrame) -> DataFrame:
