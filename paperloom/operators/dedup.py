@@ -65,18 +65,19 @@ def new_wins(
     keys: Sequence[str] = ("id",),
     arrival: Sequence[str] = ("seq",),
     existing_keyed: bool = False,
-    new_keyed: bool = False,
 ) -> DataFrame:
     """Union of both sides with one row per key: new before existing, later before earlier.
 
     ``existing_keyed`` promises that the existing side already has unique keys. It is
     then only filtered by the new keys and, for a small batch, never shuffled.
-    ``new_keyed`` promises the same of the new side.
     """
     if existing_keyed:
-        batch = new if new_keyed else keep_last(new, keys, arrival)
-        kept = existing.join(batch.select(*keys), list(keys), "left_anti")
-        return kept.unionByName(batch)
+        return without_keys(existing, new, keys).unionByName(keep_last(new, keys, arrival))
     both = existing.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
     order = [F.col(c).desc() for c in ["__new", *arrival]]
     return first_by(both, keys, order, total=bool(arrival)).drop("__new")
+
+
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key does not occur in ``other``."""
+    return df.join(other.select(*keys).distinct(), list(keys), "left_anti")

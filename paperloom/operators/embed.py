@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from paperloom.functions.text import embed_text
 from paperloom.functions.vectors import repair, vector_sum
@@ -50,27 +50,29 @@ def embed(
     """One output row per input row: ``keys``, ``vector``, ``error``, ``vector_sum``.
 
     A text the encoder returned no vector for, or one of the wrong length, gets an
-    all-NaN vector, and so does every text of a batch on which the encoder raised; ``error`` says why.
-    ``partitions`` spreads the rows round robin, so equal ids or long years do not
-    gather in one task. Only keys and text are sent to Python.
+    all-NaN vector, and so does every text of a batch on which the encoder raised;
+    ``error`` says why. ``partitions`` spreads the rows round robin, so equal ids or long
+    years do not gather in one task. The keys pass through Python as Arrow columns that
+    are never turned into objects.
     """
     rows = df.select(*keys, F.col(text).alias("__text"))
     if partitions:
         rows = rows.repartition(partitions)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema)
-    names = list(keys)
-
-    not_started = NOT_STARTED
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = T.StructType([
+        *rows.select(*keys).schema.fields,
+        T.StructField("vector", T.ArrayType(T.FloatType())),
+        T.StructField("error", T.StringType()),
+    ])
+    names, not_started = schema.fieldNames(), NOT_STARTED
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             encode, broken = factory(), None
         except Exception as exc:
             encode, broken = None, f"{not_started}: {exc}"
-        empty = np.empty(0, np.float32)
-        for frame in frames:
-            texts = frame["__text"].tolist()
-            vectors, errors = [], []
+        for arrow in batches:
+            texts = arrow.column(arrow.num_columns - 1).to_pylist()
+            flat, lengths, errors = [], [], []
             for at in range(0, len(texts), batch_size):
                 batch = texts[at : at + batch_size]
                 found, problem = [], broken
@@ -80,16 +82,19 @@ def embed(
                     except Exception as exc:
                         found, problem = [], f"encoder failed: {exc}"
                 for k in range(len(batch)):
-                    vector = found[k] if k < len(found) else empty
-                    wrong = vector.shape != (dim,)
-                    errors.append(problem or (f"vector length {vector.size} is not {dim}" if wrong else None))
-                    vectors.append(empty if wrong else vector)
-            out = frame[names].copy()
-            out["vector"] = pd.Series(vectors, index=out.index, dtype=object)
-            out["error"] = pd.Series(errors, index=out.index, dtype=object)
-            yield out
-
-    raw = rows.mapInPandas(run, f"{schema}, vector array<float>, error string")
+                    size = found[k].size if k < len(found) else 0
+                    good = size == dim and found[k].ndim == 1
+                    errors.append(problem or (None if good else f"vector length {size} is not {dim}"))
+                    lengths.append(dim if good else 0)
+                    if good:
+                        flat.append(found[k])
+            values = np.concatenate(flat) if flat else np.empty(0, np.float32)
+            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float32()))
+            kept = [arrow.column(k) for k in range(arrow.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*kept, vectors, pa.array(errors, pa.string())], names=names)
+
+    raw = rows.mapInArrow(run, schema)
     fixed = raw.withColumn("vector", repair("vector", dim))
     return fixed.withColumn("vector_sum", vector_sum("vector"))
 

@@ -13,7 +13,6 @@ from paperloom.operators.embed import BATCH_SIZE, NOT_STARTED, EncoderFactory, e
 from paperloom.operators.overlay import overlay
 from paperloom.operators.split import split_summary, split_tasks
 from paperloom.operators.status import (
-    MISSING_OUTPUT,
     MISSING_PAPER,
     TASK_KEYS,
     tasks_of_papers,
@@ -114,32 +113,29 @@ def run_tasks(
 
     written = spark.read.schema(VECTOR_SCHEMA).parquet(root) if ready else spark.createDataFrame([], VECTOR_SCHEMA)
     written = written.filter(F.col("seq") == seq)
-    return TaskRun(written, task_status(tasks, papers, written, ready, stopped, root, nan_failed))
+    return TaskRun(written, task_status(tasks, written, ready, stopped, root, nan_failed))
 
 
 def task_status(
     tasks: DataFrame,
-    papers: DataFrame,
     written: DataFrame,
     ready: Mapping[str, ModelSpec],
     stopped: Mapping[str, str],
     root: str,
     nan_failed: bool = False,
 ) -> DataFrame:
-    """One row per task: processed, or failed with the reason."""
-    produced = written.groupBy(*TASK_KEYS).agg(F.max("error").alias("__error"))
-    known = papers.select("id", "year").distinct().withColumn("__known", F.lit(True))
-    joined = (
-        tasks.select(*TASK_KEYS)
-        .join(produced.withColumn("__done", F.lit(True)), list(TASK_KEYS), "left")
-        .join(known, ["id", "year"], "left")
-    )
+    """One row per task: processed, or failed with the reason.
+
+    Encoding gives a row for every paper it is handed, so a task of a running encoder
+    that left no row had no paper. The paper table need not be read again to know.
+    """
+    produced = written.groupBy(*TASK_KEYS).agg(F.max("error").alias("__error"), F.lit(True).alias("__done"))
+    joined = tasks.select(*TASK_KEYS).join(produced, list(TASK_KEYS), "left")
     absent = F.col("__done").isNull()
     reason = F.when(~F.col("model_key").isin(list(ready)), unconfigured())
-    reason = reason.when(absent & F.col("__known").isNull(), F.lit(MISSING_PAPER))
     for key, problem in stopped.items():
         reason = reason.when(absent & (F.col("model_key") == key), F.lit(problem))
-    reason = reason.when(absent, F.lit(MISSING_OUTPUT))
+    reason = reason.when(absent, F.lit(MISSING_PAPER))
     if nan_failed:
         reason = reason.otherwise(F.col("__error"))
     failed = F.col("error").isNotNull()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.operators.align import united
-from paperloom.operators.dedup import keep_last, new_wins
+from paperloom.operators.dedup import keep_last, without_keys
 from paperloom.operators.upsert import change_counts, merge_parts, replaced_keys
 from paperloom.operators.years import split_valid, touched_years, with_year
 from paperloom.schema import ModelSpec
@@ -35,8 +35,10 @@ def upserted(
     not have are dropped.
     """
     newest = newest_of(batch, arrival, existing.columns)
-    old, new = united(existing, newest, models, fill)
-    return new_wins(old, new, KEYS, (), existing_keyed)
+    if not existing_keyed:
+        existing = keep_last(existing, KEYS, ())
+    old, new = united(without_keys(existing, batch, KEYS), newest, models, fill)
+    return old.unionByName(new)
 
 
 def newest_of(batch: DataFrame, arrival: Sequence[str], stored: Sequence[str]) -> DataFrame:
@@ -83,8 +85,9 @@ def upsert_years(
         return UpsertResult([], 0, rows_invalid)
     merged = newest
     if known is not None:
-        old, new = united(read_years(spark, root, years), newest, models, fill)
-        merged = new_wins(old, new, KEYS, (), existing_keyed=True, new_keyed=True)
+        kept = without_keys(read_years(spark, root, years), newest, KEYS)
+        old, new = united(kept, newest, models, fill)
+        merged = old.unionByName(new)
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 

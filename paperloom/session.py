@@ -42,6 +42,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/paperloom/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table made below the shared folder, once nothing reads it any more."""
+    root = spark.conf.get("spark.checkpoint.dir", "").rstrip("/")
+    if not root or not path.startswith(f"{root}/paperloom/"):
+        raise ValueError(f"{path} is not a scratch table of this session")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 

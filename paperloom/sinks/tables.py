@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from paperloom.operators.status import failure_head, failure_top, task_summary
 from paperloom.schema import VECTOR_SCHEMA
-from paperloom.session import shared_dir
+from paperloom.session import drop_scratch, shared_dir
 
 
 def _sorted_by_year(df: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
     that dies leaves either the old years or a full copy of the new ones. ``staged=False``
     relies on the commit of Spark's own dynamic overwrite and saves the second write.
     """
-    written = None
+    staging = None
     if staged:
         staging = shared_dir(df.sparkSession, "staging")
         written = _write_sorted(df, staging)
@@ -77,6 +77,8 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
     writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
         "year"
     ).parquet(root)
+    if staging:
+        drop_scratch(df.sparkSession, staging)
     return seen.get["n"]
 
 
@@ -106,11 +108,13 @@ def write_tasks(assigned: DataFrame, root: str) -> None:
 
 
 def write_status(status: DataFrame, root: str) -> None:
-    """Write the processed and failed logs, and the three summary tables, as JSON."""
-    status.write.mode("overwrite").partitionBy("status").json(f"{root}/tasks")
-    failed = status.filter(F.col("status") == "failed")
+    """Write the processed and failed logs, then three summary tables made from them, as JSON."""
+    log = f"{root}/tasks"
+    status.write.mode("overwrite").partitionBy("status").json(log)
+    written = status.sparkSession.read.schema(status.schema).json(log)
+    failed = written.filter(F.col("status") == "failed")
     summaries = {
-        "summary": task_summary(status),
+        "summary": task_summary(written),
         "top_reasons": failure_top(failed),
         "first_failures": failure_head(failed),
     }

@@ -38,6 +38,7 @@ def load_all() -> None:
         joins_reports,
         merges,
         normalize,
+        runs,
         splits,
         streams,
         tables_io,

@@ -49,8 +49,10 @@ def land_pages(spark, sf_dir, trailers: bool = True) -> str:
 
 
 def _append(df: DataFrame, root: str, tag: str) -> None:
-    writer = df.write.format("xml").mode("append").option("rootTag", "ListRecords").option("rowTag", tag)
-    writer.partitionBy("lang").save(root)
+    # A page of a harvest holds a limited number of records.
+    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    writer = spread.write.format("xml").mode("append").option("rootTag", "ListRecords").option("rowTag", tag)
+    writer.option("maxRecordsPerFile", 1000).partitionBy("lang").save(root)
 
 
 def land_feeds(spark, sf_dir) -> str:
@@ -67,6 +69,7 @@ def land_feeds(spark, sf_dir) -> str:
         F.split("categories_raw", " ").alias("category"),
         F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("pubDate"),
     )
-    writer = items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").option("validateName", "false")
+    spread = items.repartition(spark.sparkContext.defaultParallelism)
+    writer = spread.write.format("xml").option("rootTag", "channel").option("rowTag", "item").option("validateName", "false")
     writer.partitionBy("feed").save(root)
     return root

@@ -162,7 +162,7 @@ def _bytes(vector):
 )
 def e1_embed(spark, sf_dir):
     texts = papers(spark, sf_dir).select("seq", embed_text().alias("text"))
-    done = embed(texts, hash_encoder(DIM), DIM, keys=["seq"])
+    done = embed(texts, hash_encoder(DIM), DIM, keys=["seq"], partitions=spark.sparkContext.defaultParallelism)
     return done.select("seq", F.size("vector").alias("size"), *_bytes(F.col("vector")))
 
 
@@ -174,7 +174,9 @@ def e1_embed(spark, sf_dir):
     ),
 )
 def e5_embed_table(spark, sf_dir):
-    done = embed_table(papers(spark, sf_dir), hash_encoder(DIM), "m1", DIM)
+    done = embed_table(
+        papers(spark, sf_dir), hash_encoder(DIM), "m1", DIM, partitions=spark.sparkContext.defaultParallelism
+    )
     return done.select("id", "seq", "title", "updated", *_bytes(F.col("m1")))
 
 

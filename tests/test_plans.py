@@ -109,7 +109,7 @@ def test_papers_are_cut_to_their_tasks_before_python(spark, folder):
     papers, vectors = _stored(spark, folder)
     wanted = tasks_of_papers(papers.withColumn("text", F.col("title")), vectors)
     text = plan(embed(wanted, hash_encoder(8), 8, partitions=4))
-    assert text.index("MapInPandas") < text.index("RoundRobinPartitioning(4)") < text.index("LeftSemi")
+    assert text.index("MapInArrow") < text.index("RoundRobinPartitioning(4)") < text.index("LeftSemi")
 
 
 def test_filters_reach_the_scan(spark, folder):
