@@ -27,25 +27,33 @@ def build_session(app: str = "paperloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
+def _shared_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="paperloom-", dir="/tmp")
+    return _local_roots[context.applicationId]
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the cluster's shared folder.
 
     The folder is the session's ``spark.checkpoint.dir``. Only a local session, whose
     tasks all see the driver's disk, may go without it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="paperloom-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/paperloom/{purpose}-{uuid.uuid4().hex}"
+    return f"{_shared_root(spark)}/paperloom/{purpose}-{uuid.uuid4().hex}"
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table made below the shared folder, once nothing reads it any more."""
-    root = spark.conf.get("spark.checkpoint.dir", "").rstrip("/")
-    if not root or not path.startswith(f"{root}/paperloom/"):
+    if not path.startswith(f"{_shared_root(spark)}/paperloom/"):
         raise ValueError(f"{path} is not a scratch table of this session")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

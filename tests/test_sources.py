@@ -18,7 +18,7 @@ ENVELOPE = """<?xml version="1.0" encoding="UTF-8"?>
 </OAI-PMH>
 """
 RECORD = """<record><header><identifier>oai:{id}</identifier><datestamp>{stamp}</datestamp></header>
-<metadata><arXiv xmlns="http://arxiv.org/OAI/arXiv/"><id>{id}</id><created>2024-01-01</created>{updated}
+<metadata><arXiv xmlns="http://example.org/meta/"><id>{id}</id><created>2024-01-01</created>{updated}
 <authors>{authors}</authors><title>{title}</title><categories>cs.AI stat.ML</categories>
 <license>http://license</license><abstract>  one
 two  </abstract></arXiv></metadata></record>"""
