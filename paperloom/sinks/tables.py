@@ -9,8 +9,15 @@ from paperloom.schema import VECTOR_SCHEMA
 from paperloom.session import drop_scratch, shared_dir
 
 
+# Parts a year is hashed into before adaptive execution evens out their sizes.
+_YEAR_PARTS = 16
+
+
 def _sorted_by_year(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange("year", "id").sortWithinPartitions("year", "id")
+    # Adaptive execution cuts large parts of a year further and joins small ones, in one
+    # pass; a range partitioning would compute the rows twice to sample them.
+    parted = df.withColumn("__part", F.pmod(F.xxhash64("id"), F.lit(_YEAR_PARTS)))
+    return parted.hint("rebalance", "year", "__part").drop("__part").sortWithinPartitions("year", "id")
 
 
 def _write_sorted(df: DataFrame, root: str) -> int:
@@ -23,9 +30,8 @@ def _write_sorted(df: DataFrame, root: str) -> int:
 def write_years(df: DataFrame, root: str, on_empty: str = "write") -> int:
     """Write a whole yearly table, zstd, sorted by id inside each year. Returns its rows.
 
-    Rows are range-partitioned by (year, id): a large year is spread over many files, and
-    each file covers one id range. Without rows, ``on_empty="skip"`` leaves the path as it
-    is and ``"write"`` leaves an empty table that has the schema.
+    A large year is spread over many files. Without rows, ``on_empty="skip"`` leaves the
+    path as it is and ``"write"`` leaves an empty table that has the schema.
     """
     if on_empty not in ("write", "skip"):
         raise ValueError(f"on_empty must be write or skip, not {on_empty}")
@@ -68,7 +74,7 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
         found = staged_rows.count()
         if found != written:
             raise RuntimeError(f"staging holds {found} of {written} rows; {root} is unchanged")
-        # The staged files cover one id range each; only their inner order is restored.
+        # The staged files have their final size; only their inner order is restored.
         result = staged_rows.sortWithinPartitions("year", "id")
     else:
         result = _sorted_by_year(df)
@@ -102,9 +108,8 @@ def write_tasks(assigned: DataFrame, root: str) -> None:
 
     All folders together are the full list of assigned tasks.
     """
-    columns = ["id", "year", "model_key", "matrix_id"]
-    spread = assigned.select(*columns, "task_rank").repartitionByRange("matrix_id", "task_rank")
-    spread.select(*columns).write.mode("overwrite").partitionBy("matrix_id").json(root)
+    tasks = assigned.select("id", "year", "model_key", "matrix_id").hint("rebalance", "matrix_id")
+    tasks.write.mode("overwrite").partitionBy("matrix_id").json(root)
 
 
 def write_status(status: DataFrame, root: str) -> None:
