@@ -44,19 +44,25 @@ def tasks_of_papers(papers: DataFrame, tasks: DataFrame, on: Sequence[str] = ("i
     return papers.join(tasks.select(*on), list(on), "left_semi")
 
 
-def unprocessed(tasks: DataFrame, output: DataFrame, on: Sequence[str] = TASK_KEYS, reason: str = MISSING_OUTPUT) -> DataFrame:
+def unprocessed(
+    tasks: DataFrame, output: DataFrame, on: Sequence[str] = TASK_KEYS, reason: str = MISSING_OUTPUT
+) -> DataFrame:
     """Tasks without an output row, with the reason as ``error``."""
     return tasks.join(output.select(*on), list(on), "left_anti").withColumn("error", F.lit(reason))
 
 
-def remaining(tasks: DataFrame, status: DataFrame, on: Sequence[str] = TASK_KEYS, reason: str = ENGINE_FAILED) -> DataFrame:
+def remaining(
+    tasks: DataFrame, status: DataFrame, on: Sequence[str] = TASK_KEYS, reason: str = ENGINE_FAILED
+) -> DataFrame:
     """Tasks that are in neither the processed nor the failed log."""
     return unprocessed(tasks, status, on, reason)
 
 
 def step_counts(**steps: DataFrame) -> DataFrame:
     """Rows of each named step, as one table."""
-    counts = [df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("row_count")) for name, df in steps.items()]
+    counts = [
+        df.agg(F.lit(name).alias("step"), F.count(F.lit(1)).alias("row_count")) for name, df in steps.items()
+    ]
     out = counts[0]
     for other in counts[1:]:
         out = out.unionByName(other)

@@ -13,28 +13,37 @@ from paperloom.operators.dedup import first_by, latest
 from paperloom.operators.upsert import merge_latest
 from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
+from paperloom.session import cut_lineage
 from paperloom.sinks.tables import replace_years, write_snapshot
 from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
 from paperloom.sources.rss import normalize_rss, read_rss
 from paperloom.sources.tables import is_table, read_years
 
 
+def landed_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Every record of the landed pages in the paper schema, with ``datestamp`` and ``page``.
+
+    Deleted and unidentified records are kept without id: they count towards the size a
+    harvest announces.
+    """
+    stamp = F.col("header.datestamp").alias("datestamp")
+    return normalize_oai(read_oai(spark, path), stamp, "page", only_valid=False)
+
+
 def parse_pages(
-    spark: SparkSession,
-    path: str | list[str],
+    records: DataFrame,
     window: tuple[dt.date, dt.date] | None = None,
     categories: Sequence[str] = (),
     year: int | None = None,
 ) -> DataFrame:
-    """Latest version per id and year of the valid papers in the landed pages.
+    """Latest version per id and year of the valid landed records.
 
     The pages are usually the answer to a request for a window and categories; both are
     applied again here. Requests select by the record's datestamp, and so do the window
     and the ``year`` column; a record without one is kept and gets ``year``.
     """
     stamp = F.col("datestamp")
-    pages = read_oai(spark, path)
-    papers = normalize_oai(pages, F.col("header.datestamp").alias("datestamp"), "page")
+    papers = records.filter(F.col("id").isNotNull())
     if categories:
         papers = papers.filter(in_categories("categories", list(categories)))
     if window:
@@ -43,14 +52,13 @@ def parse_pages(
     return latest(dated, ("id", "year")).select(*PAPER_COLUMNS, "year")
 
 
-def require_complete(spark: SparkSession, path: str | list[str]) -> None:
-    """Raise if the landed pages under ``path`` are an unfinished or failed harvest.
+def require_complete(records: DataFrame, envelope: DataFrame) -> None:
+    """Raise if landed records and page trailers are an unfinished or failed harvest.
 
     Pages of one list lie in one folder.
     """
     folder = F.regexp_extract("page", r"^(.*)/[^/]+$", 1)
-    checked = harvest_complete(read_oai(spark, path), read_envelope(spark, path), folder)
-    broken = checked.filter(~F.col("complete")).limit(10).collect()
+    broken = harvest_complete(records, envelope, folder).filter(~F.col("complete")).limit(10).collect()
     if broken:
         raise RuntimeError(f"incomplete harvest: {[tuple(row) for row in broken]}")
 
@@ -73,11 +81,14 @@ def harvest_years(
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"mode must be replace or merge, not {mode}")
+    records = landed_records(spark, path)
     if mode == "replace" and check_complete:
-        require_complete(spark, path)
+        # Parsed once; the check and the table both read the parsed records.
+        records = cut_lineage(records, "landed")
+        require_complete(records, read_envelope(spark, path))
     window = (year_request(min(years), today)[0], year_request(max(years), today)[1])
     only = years[0] if len(years) == 1 else None
-    papers = parse_pages(spark, path, window, categories, only)
+    papers = parse_pages(records, window, categories, only)
     papers = papers.filter(F.col("year").isin(list(years)))
     if mode == "merge" and is_table(spark, root):
         before = read_years(spark, root, years).select(*PAPER_COLUMNS, "year")
@@ -98,7 +109,7 @@ def harvest_window(
 
     An empty window still writes a table with the paper schema.
     """
-    papers = parse_pages(spark, path, request_window(until, days, start), categories)
+    papers = parse_pages(landed_records(spark, path), request_window(until, days, start), categories)
     newest = latest(papers).select(*PAPER_COLUMNS)
     return write_snapshot(newest, output)
 

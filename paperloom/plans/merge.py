@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.operators.align import united
-from paperloom.operators.dedup import keep_last, without_keys
+from paperloom.operators.dedup import keep_last, latest, without_keys
 from paperloom.operators.upsert import change_counts, merge_parts, replaced_keys
 from paperloom.operators.years import split_valid, touched_years, with_year
 from paperloom.schema import ModelSpec
@@ -34,16 +34,22 @@ def upserted(
     either side. ``arrival`` orders the batch; those of its columns that the table does
     not have are dropped.
     """
-    newest = newest_of(batch, arrival, existing.columns)
+    newest = keep_last(batch, KEYS, arrival)
     if not existing_keyed:
         existing = keep_last(existing, KEYS, ())
-    old, new = united(without_keys(existing, batch, KEYS), newest, models, fill)
-    return old.unionByName(new)
+    return _put(newest, without_keys(existing, batch, KEYS), arrival, models, fill)
 
 
-def newest_of(batch: DataFrame, arrival: Sequence[str], stored: Sequence[str]) -> DataFrame:
-    """One row per key of a batch, without arrival columns that are not stored."""
-    return keep_last(batch, KEYS, arrival).drop(*[c for c in arrival if c not in stored])
+def _put(
+    newest: DataFrame,
+    kept: DataFrame,
+    arrival: Sequence[str],
+    models: Mapping[str, ModelSpec] | None,
+    fill: str,
+) -> DataFrame:
+    """Kept rows and batch rows in one schema, without arrival columns that are not stored."""
+    old, new = united(kept, newest.drop(*[c for c in arrival if c not in kept.columns]), models, fill)
+    return old.unionByName(new)
 
 
 @dataclass(frozen=True)
@@ -71,23 +77,21 @@ def upsert_years(
     """
     seen = Observation("batch")
     dated = with_year(batch, rule, formats)
-    valid, invalid = split_valid(dated)
+    _, invalid = split_valid(dated)
     # One pass over the batch: count the invalid rows, keep the newest valid ones.
-    counted, _ = split_valid(dated.observe(seen, F.count_if(F.col("year").isNull()).alias("invalid")))
-    known = read_years(spark, root) if is_table(spark, root) else None
-    stored = [c for c in valid.columns if c not in arrival] if known is None else known.columns
-    newest = cut_lineage(newest_of(counted, arrival, stored), "upsert-batch")
+    valid, _ = split_valid(dated.observe(seen, F.count_if(F.col("year").isNull()).alias("invalid")))
+    newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
     rows_invalid = seen.get["invalid"]
     if quarantine and rows_invalid:
         invalid.write.mode("append").parquet(quarantine)
     years = sorted(touched_years(newest))
     if not years:
         return UpsertResult([], 0, rows_invalid)
-    merged = newest
-    if known is not None:
+    if is_table(spark, root):
         kept = without_keys(read_years(spark, root, years), newest, KEYS)
-        old, new = united(kept, newest, models, fill)
-        merged = old.unionByName(new)
+        merged = _put(newest, kept, arrival, models, fill)
+    else:
+        merged = newest.drop(*arrival)
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 
@@ -117,8 +121,11 @@ def merge_increment(
     that they are embedded again; ``seq`` is this run's place in the vector history.
     """
     batch = with_year(increment, year)
-    existing = read_years(spark, root, [year]) if is_table(spark, root) else batch.limit(0)
-    old, new = united(existing, batch)
+    if not is_table(spark, f"{root}/year={year}"):
+        rows = replace_years(latest(batch, KEYS, nulls=nulls), root)
+        return MergeResult(rows, rows, 0, 0, rows)
+    batch = cut_lineage(batch, "increment")
+    old, new = united(read_years(spark, root, [year]), batch)
     untouched, touched, winners = merge_parts(old, new, KEYS, nulls=nulls)
     winners = cut_lineage(winners, "winners")
     counts = change_counts(touched, winners, KEYS).first()

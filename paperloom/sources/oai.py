@@ -74,7 +74,8 @@ def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) ->
         (F.count_if("continued") < F.count(F.lit(1))).alias("ended"),
     )
     reached = F.col("record_count") >= F.coalesce("list_size", "record_count")
-    return lists.select("source", "record_count", "list_size", (~F.col("failed") & reached & F.col("ended")).alias("complete"))
+    complete = ~F.col("failed") & reached & F.col("ended")
+    return lists.select("source", "record_count", "list_size", complete.alias("complete"))
 
 
 def valid_records(records: DataFrame) -> DataFrame:
@@ -82,11 +83,14 @@ def valid_records(records: DataFrame) -> DataFrame:
     return records.filter(F.coalesce(F.col("metadata.arXiv.id"), F.lit("")) != "")
 
 
-def normalize_oai(records: DataFrame, *extra: Column | str) -> DataFrame:
-    """Valid records in the paper schema, plus any ``extra`` columns such as the page."""
+def normalize_oai(records: DataFrame, *extra: Column | str, only_valid: bool = True) -> DataFrame:
+    """Records in the paper schema, plus any ``extra`` columns such as the page.
+
+    Records that are not valid are dropped, or with ``only_valid=False`` kept without id.
+    """
     meta = F.col("metadata.arXiv")
     paper = {
-        "id": meta["id"],
+        "id": F.nullif(meta["id"], F.lit("")),
         "title": flatten_text(meta["title"]),
         "authors": author_names(meta["authors"]["author"]),
         "abstract": flatten_text(meta["abstract"]),
@@ -96,4 +100,5 @@ def normalize_oai(records: DataFrame, *extra: Column | str) -> DataFrame:
         "updated": meta["updated"],
         "license": meta["license"],
     }
-    return valid_records(records).select(*[paper[c].alias(c) for c in PAPER_COLUMNS], *extra)
+    rows = valid_records(records) if only_valid else records
+    return rows.select(*[paper[c].alias(c) for c in PAPER_COLUMNS], *extra)

@@ -40,7 +40,9 @@ def read_years(
     if years is None:
         return reader.parquet(root)
     folders = [f"{root}/year={y}" for y in years if is_table(spark, f"{root}/year={y}")]
-    return reader.parquet(*folders) if folders else reader.parquet(root).limit(0)
+    if folders:
+        return reader.parquet(*folders)
+    return reader.option("mergeSchema", "false").parquet(root).limit(0)
 
 
 def artifact_year(name: Column | str) -> Column:

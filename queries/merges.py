@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from paperloom.operators.dedup import latest
 from paperloom.operators.upsert import change_counts, merge_latest
 from paperloom.operators.years import with_year

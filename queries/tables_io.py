@@ -14,7 +14,7 @@ from queries import query
 from queries.derived import PAPER_TABLE, VECTOR_TABLE, paper_table, table, vector_table, with_papers
 from queries.joins_reports import RUN_LOG, SUMMARY, run_log
 from queries.splits import ORDER_TASKS, line_tasks, order_tasks, sql_split, LINE_TASKS
-from queries.vectors import ARTIFACTS, OVERLAY_SQL, artifacts, finite_sum, rounded, sql_finite_sum
+from queries.vectors import OVERLAY_SQL, artifacts, finite_sum, sql_finite_sum
 
 
 def order_table(spark, sf_dir):

@@ -5,7 +5,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from paperloom.plans.harvest import parse_feeds, parse_pages, require_complete
+from paperloom.plans.harvest import landed_records, parse_feeds, parse_pages, require_complete
 from paperloom.sources.oai import normalize_oai, read_envelope, read_oai
 from paperloom.sources.rss import normalize_rss, read_rss, valid_items
 from paperloom.sources.tables import is_table, read_artifacts, read_task_array, read_years
@@ -66,24 +66,28 @@ def test_records_and_normalisation(spark, pages):
 
 
 def test_parse_pages_keeps_the_latest(spark, pages):
-    rows = {(r.id, r.year): r.updated for r in parse_pages(spark, pages).collect()}
+    rows = {(r.id, r.year): r.updated for r in parse_pages(landed_records(spark, pages)).collect()}
     assert rows == {("a", 2024): "2024-01-02", ("b", 2024): None, ("c", 2025): None}
-    assert parse_pages(spark, pages, categories=["math"]).count() == 0
-    assert parse_pages(spark, pages, categories=["stat"]).count() == 3
+    assert parse_pages(landed_records(spark, pages), categories=["math"]).count() == 0
+    assert parse_pages(landed_records(spark, pages), categories=["stat"]).count() == 3
+
+
+def _check(spark, path):
+    require_complete(read_oai(spark, path), read_envelope(spark, path))
 
 
 def test_envelope_and_completeness(spark, pages, folder):
     trailers = sorted((r.token or "", r.list_size) for r in read_envelope(spark, pages).collect())
     assert trailers == [("", 6), ("next", 6)]
-    require_complete(spark, pages)
+    _check(spark, pages)
     short = folder("short")
     _page(short, "1.xml", _record("a"), trailer=_token("", 2))
     with pytest.raises(RuntimeError, match="incomplete harvest"):
-        require_complete(spark, short)
+        _check(spark, short)
     unfinished = folder("unfinished")
     _page(unfinished, "1.xml", _record("a"), trailer=_token("next", ""))
     with pytest.raises(RuntimeError, match="incomplete harvest"):
-        require_complete(spark, unfinished)
+        _check(spark, unfinished)
 
 
 @pytest.mark.parametrize("code, complete", [("noRecordsMatch", True), ("badArgument", False)])
@@ -95,10 +99,10 @@ def test_error_pages(spark, folder, code, complete):
     row = read_envelope(spark, path).first()
     assert (row.error_code, row.error_text) == (code, "text")
     if complete:
-        require_complete(spark, path)
+        _check(spark, path)
     else:
         with pytest.raises(RuntimeError):
-            require_complete(spark, path)
+            _check(spark, path)
 
 
 FEED = """<?xml version='1.0' encoding='UTF-8'?>
