@@ -41,8 +41,8 @@ def rank_tasks(tasks: DataFrame, seed: int = 42, unique: bool = False, bucket_di
         "__bucket", F.substring("__order", 1, bucket_digits)
     )
 
-    sizes = tasks.select(F.substring(order_key(columns, seed), 1, bucket_digits).alias("__bucket"))
-    sizes = sizes.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    # Without ``unique`` both uses of the counted tasks read the same shuffle.
+    sizes = hashed.groupBy("__bucket").agg(F.sum("__copies").alias("__size"))
     # At most 65,536 rows of two numbers from here on.
     all_buckets = Window.partitionBy(F.lit(0)).orderBy("__bucket")
     offsets = sizes.select(

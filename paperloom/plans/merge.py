@@ -75,15 +75,9 @@ def upsert_years(
     Only the years in the batch are read and rewritten. Rows without a year are counted,
     and appended to ``quarantine`` if given.
     """
-    seen = Observation("batch")
-    dated = with_year(batch, rule, formats)
-    _, invalid = split_valid(dated)
-    # One pass over the batch: count the invalid rows, keep the newest valid ones.
-    valid, _ = split_valid(dated.observe(seen, F.count_if(F.col("year").isNull()).alias("invalid")))
+    valid, invalid = split_valid(with_year(batch, rule, formats))
     newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
-    rows_invalid = seen.get["invalid"]
-    if quarantine and rows_invalid:
-        invalid.write.mode("append").parquet(quarantine)
+    rows_invalid = _set_aside(invalid, quarantine) if quarantine else invalid.count()
     years = sorted(touched_years(newest))
     if not years:
         return UpsertResult([], 0, rows_invalid)
@@ -95,6 +89,13 @@ def upsert_years(
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 
+def _set_aside(invalid: DataFrame, quarantine: str) -> int:
+    # Counted in the writing stage itself, where a retried task is not counted twice.
+    seen = Observation("invalid")
+    invalid.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine)
+    return seen.get["n"]
+
+
 @dataclass(frozen=True)
 class MergeResult:
     rows_written: int

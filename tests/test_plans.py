@@ -93,7 +93,7 @@ def test_split_of_a_table_with_copies_reuses_its_ranking(spark, folder):
     df = split_tasks(papers.select("id", "year", F.lit("m1").alias("model_key")))
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
-    assert final.count("FileScan") == 2
+    assert final.count("FileScan") == 1
 
 
 def test_overlay_shuffles_each_vector_once(spark, folder):
