@@ -21,13 +21,13 @@ from paperloom.sources.tables import is_table, read_years
 
 
 def landed_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every record of the landed pages in the paper schema, with ``datestamp`` and ``page``.
+    """Every landed record in the paper schema, with its datestamp, identifier and page.
 
     Deleted and unidentified records are kept without id: they count towards the size a
     harvest announces.
     """
     stamp = F.col("header.datestamp").alias("datestamp")
-    return normalize_oai(read_oai(spark, path), stamp, "page", only_valid=False)
+    return normalize_oai(read_oai(spark, path), stamp, "identifier", "page", "corrupt", only_valid=False)
 
 
 def parse_pages(

@@ -64,6 +64,7 @@ def upsert_years(
     batch: DataFrame,
     root: str,
     quarantine: str | None = None,
+    quarantine_mode: str = "append",
     rule: str | int = "created",
     formats: tuple[str, ...] = (TIMESTAMP_FORMAT,),
     arrival: Sequence[str] = (),
@@ -73,11 +74,11 @@ def upsert_years(
     """Assign years to a batch and upsert them into the table at ``root``.
 
     Only the years in the batch are read and rewritten. Rows without a year are counted,
-    and appended to ``quarantine`` if given.
+    and written to ``quarantine`` if given.
     """
     valid, invalid = split_valid(with_year(batch, rule, formats))
     newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
-    rows_invalid = _set_aside(invalid, quarantine) if quarantine else invalid.count()
+    rows_invalid = _set_aside(invalid, quarantine, quarantine_mode) if quarantine else invalid.count()
     years = sorted(touched_years(newest))
     if not years:
         return UpsertResult([], 0, rows_invalid)
@@ -89,10 +90,10 @@ def upsert_years(
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 
-def _set_aside(invalid: DataFrame, quarantine: str) -> int:
+def _set_aside(invalid: DataFrame, quarantine: str, mode: str) -> int:
     # Counted in the writing stage itself, where a retried task is not counted twice.
     seen = Observation("invalid")
-    invalid.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine)
+    invalid.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(quarantine)
     return seen.get["n"]
 
 

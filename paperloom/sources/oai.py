@@ -12,7 +12,8 @@ RECORD_SCHEMA = (
     "header struct<identifier:string,datestamp:string,setSpec:array<string>,_status:string>, "
     "metadata struct<arXiv:struct<id:string,created:string,updated:string,"
     "authors:struct<author:array<struct<keyname:string,forenames:string>>>,"
-    "title:string,categories:string,license:string,abstract:string>>"
+    "title:string,categories:string,license:string,abstract:string>>, "
+    "_corrupt_record string"
 )
 TOKEN_SCHEMA = "_VALUE string, _completeListSize string"
 ERROR_SCHEMA = "_VALUE string, _code string"
@@ -24,8 +25,18 @@ def _elements(spark: SparkSession, path: str | list[str], tag: str, schema: str)
 
 
 def read_oai(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per ``record`` element, with the page it came from."""
-    return _elements(spark, path, "record", RECORD_SCHEMA).withColumn("page", F.col("_metadata.file_path"))
+    """One row per ``record`` element: ``header, metadata, identifier, page, corrupt``.
+
+    ``corrupt`` marks a record that is not well formed, and the row without identifier
+    in which a page ends when its text breaks off.
+    """
+    return _elements(spark, path, "record", RECORD_SCHEMA).select(
+        "header",
+        "metadata",
+        F.col("header.identifier").alias("identifier"),
+        F.col("_metadata.file_path").alias("page"),
+        F.col("_corrupt_record").isNotNull().alias("corrupt"),
+    )
 
 
 def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -57,10 +68,12 @@ def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) ->
     """Per harvested list: records found, announced size, and whether the harvest is whole.
 
     ``source`` names the list a page belongs to. A list is whole when no page reported an
-    error other than an empty result, the announced size, if any, was reached, and not
-    every page asks for another one.
+    error other than an empty result, no page is corrupt, the announced size, if any, was
+    reached, and not every page asks for another one.
     """
-    found = records.groupBy("page").agg(F.count(F.lit(1)).alias("record_count"))
+    found = records.groupBy("page").agg(
+        F.count("identifier").alias("record_count"), F.bool_or("corrupt").alias("corrupt")
+    )
     failed = F.col("error_code").isNotNull() & (F.col("error_code") != NO_RECORDS)
     trailers = envelope.groupBy("page").agg(
         F.max("list_size").alias("list_size"),
@@ -70,7 +83,7 @@ def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) ->
     lists = found.join(trailers, ["page"], "full_outer").groupBy(source.alias("source")).agg(
         F.coalesce(F.sum("record_count"), F.lit(0).cast("bigint")).alias("record_count"),
         F.max("list_size").alias("list_size"),
-        F.coalesce(F.bool_or("failed"), F.lit(False)).alias("failed"),
+        F.bool_or(F.coalesce("failed", F.lit(False)) | F.coalesce("corrupt", F.lit(False))).alias("failed"),
         (F.count_if("continued") < F.count(F.lit(1))).alias("ended"),
     )
     reached = F.col("record_count") >= F.coalesce("list_size", "record_count")

@@ -19,9 +19,11 @@ ITEM_SCHEMA = (
 def read_rss(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per ``item`` element with the feed it came from.
 
-    An item that is not well formed keeps its text in ``_corrupt_record`` and has no link.
+    An item that is not well formed keeps its text in ``_corrupt_record`` and has no link;
+    the items after it are read all the same, which takes Spark's element-wise parser.
     """
     reader = spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
+    reader = reader.option("useLegacyXMLParser", "true")
     return reader.schema(ITEM_SCHEMA).load(path).withColumn("feed", F.col("_metadata.file_path"))
 
 

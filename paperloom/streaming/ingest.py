@@ -52,8 +52,8 @@ def upsert_stream(
     """Upsert every micro-batch into the yearly table and stop when no file is left.
 
     ``keep="new"`` lets the batch win; ``keep="latest"`` keeps the row with the later
-    ``updated`` and needs a fixed year as ``rule``. Both are keyed, so a batch that is
-    replayed after a failure changes nothing.
+    ``updated`` and needs a fixed year as ``rule``. Both are keyed, and rows set aside
+    lie in a folder per batch, so a batch that is replayed after a failure changes nothing.
     """
     if keep not in ("new", "latest"):
         raise ValueError(f"keep must be new or latest, not {keep}")
@@ -65,7 +65,8 @@ def upsert_stream(
         if keep == "latest":
             merge_increment(session, batch, root, rule)
         else:
-            upsert_years(session, batch, root, quarantine, rule, formats, arrival)
+            aside = f"{quarantine}/batch_id={batch_id}" if quarantine else None
+            upsert_years(session, batch, root, aside, "overwrite", rule, formats, arrival)
 
     return (
         stream.writeStream.foreachBatch(apply)

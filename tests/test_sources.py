@@ -105,6 +105,18 @@ def test_error_pages(spark, folder, code, complete):
             _check(spark, path)
 
 
+def test_malformed_pages_are_not_complete(spark, folder):
+    whole, entity, broken = folder("whole"), folder("entity"), folder("broken")
+    _page(whole, "1.xml", _record("a"), _record("b"))
+    _page(entity, "1.xml", _record("a"), _record("b", title="x &nbsp; y"), _record("c"))
+    _page(broken, "1.xml", _record("a"), "<record><header></metadata></record>", _record("c"))
+    _check(spark, whole)
+    for path in (entity, broken):
+        with pytest.raises(RuntimeError, match="incomplete harvest"):
+            _check(spark, path)
+        assert "a" in {r.id for r in parse_pages(landed_records(spark, path)).collect()}
+
+
 FEED = """<?xml version='1.0' encoding='UTF-8'?>
 <rss xmlns:dc="http://purl.org/dc/elements/1.1/" version="2.0"><channel><title>feed</title>{items}</channel></rss>
 """
@@ -143,6 +155,19 @@ def test_feed_items(spark, feeds):
     assert set(bare.values()) == {None}
 
 
+def test_malformed_items_do_not_hide_the_others(spark, folder):
+    path = folder("feeds")
+    os.makedirs(path)
+    item = "<item><title>{}</title><link>http://x.org/abs/{}v1</link></item>"
+    bad = ["<item><title>x<b></title></item>", item.format("x &nbsp; y", "9")]
+    with open(os.path.join(path, "a.xml"), "w") as out:
+        out.write(FEED.format(items=item.format("one", 1) + bad[0] + item.format("two", 2) + bad[1] + item.format("three", 3)))
+    with open(os.path.join(path, "b.xml"), "w") as out:
+        out.write("<rss><channel>" + item.format("four", 4) + "<item><title>cut")
+    assert {r.id for r in normalize_rss(read_rss(spark, path)).collect()} == {"1", "2", "3", "4"}
+    assert read_rss(spark, path).filter("link is null and _corrupt_record is not null").count() == 3
+
+
 def test_feed_dedup_and_cut(spark, feeds):
     assert {(r.id, r.title) for r in parse_feeds(spark, feeds).collect()} == {("2401.1", "T1"), ("solv-int/9", "old")}
     assert {r.id for r in parse_feeds(spark, feeds, cut="first_v").collect()} == {"2401.1", "sol"}

@@ -20,7 +20,12 @@ def _state(spark, root):
 def test_later_batches_win_and_replays_change_nothing(spark, folder):
     landed, root, state = folder("landed"), folder("table"), folder("state")
     schema = spark.createDataFrame([], SCHEMA).schema
-    run = lambda checkpoint: upsert_stream(stream_table(spark, landed, schema), root, checkpoint, ("n",)).awaitTermination()
+    bad = folder("bad")
+
+    def run(checkpoint):
+        stream = stream_table(spark, landed, schema)
+        upsert_stream(stream, root, checkpoint, ("n",), quarantine=bad).awaitTermination()
+
     day = "2024-01-01T00:00:00Z"
     _land(spark, landed, [("a", day, None, "one", 1), ("a", day, None, "two", 2), ("b", day, None, "one", 3)])
     run(state)
@@ -29,6 +34,7 @@ def test_later_batches_win_and_replays_change_nothing(spark, folder):
     run(state)
     assert _state(spark, root) == [("a", 2024, "three"), ("b", 2024, "one")]
     run(state)
+    assert [tuple(r) for r in spark.read.parquet(bad).select("id", "batch_id").collect()] == [("c", 1)]
     run(folder("fresh-state"))
     assert _state(spark, root) == [("a", 2024, "three"), ("b", 2024, "one")]
 
