@@ -19,10 +19,10 @@ from paperloom.operators.status import (
     unconfigured,
 )
 from paperloom.operators.years import touched_years
-from paperloom.schema import VECTOR_SCHEMA, ModelSpec
+from paperloom.schema import ModelSpec
 from paperloom.session import cut_lineage, shared_dir
 from paperloom.sinks.tables import replace_years, write_artifacts, write_tasks
-from paperloom.sources.tables import read_years
+from paperloom.sources.tables import read_vectors, read_years
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -111,8 +111,7 @@ def run_tasks(
         if seen.get["problem"]:
             stopped[key] = seen.get["problem"]
 
-    written = spark.read.schema(VECTOR_SCHEMA).parquet(root) if ready else spark.createDataFrame([], VECTOR_SCHEMA)
-    written = written.filter(F.col("seq") == seq)
+    written = read_vectors(spark, root).filter(F.col("seq") == seq)
     return TaskRun(written, task_status(tasks, written, ready, stopped, root, nan_failed))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.text import _col
-from paperloom.schema import TASK_SCHEMA, yearly_schema
+from paperloom.schema import TASK_SCHEMA, VECTOR_SCHEMA, yearly_schema
 
 # How artifact and task files are named.
 ARTIFACT_NAME = r"embedded-([0-9]+)\.parquet-(.+?)\.parquet"
@@ -45,6 +45,13 @@ def read_years(
     return reader.option("mergeSchema", "false").parquet(root).limit(0)
 
 
+def read_vectors(spark: SparkSession, root: str) -> DataFrame:
+    """The long vector table at ``root``, without rows if nothing was written there yet."""
+    if not is_table(spark, root):
+        return spark.createDataFrame([], VECTOR_SCHEMA)
+    return spark.read.schema(VECTOR_SCHEMA).parquet(root)
+
+
 def artifact_year(name: Column | str) -> Column:
     return F.regexp_extract(_col(name), ARTIFACT_NAME, 1).cast("int")
 

@@ -20,7 +20,7 @@ from paperloom.plans import (
 )
 from paperloom.schema import PAPER_COLUMNS, ModelSpec
 from paperloom.sinks.tables import replace_years, write_artifacts, write_status, write_years
-from paperloom.sources.tables import read_tasks, read_years
+from paperloom.sources.tables import read_tasks, read_vectors, read_years
 from pyspark.sql import functions as F
 from test_sources import _page, _record, _token, feeds, pages  # noqa: F401
 
@@ -167,8 +167,7 @@ def test_backlog_split_run_and_merge_empty_the_backlog(spark, folder):
     papers = _papers(spark, 60, 2023).unionByName(_papers(spark, 40, 2024))
     write_years(papers, root)
     table = read_years(spark, root)
-    none = spark.createDataFrame([], "id string, year int, model_key string, vector array<float>, vector_sum double, seq long")
-    summary = backlog_and_split(table, none, MODELS, lists, lists=7)
+    summary = backlog_and_split(table, read_vectors(spark, vectors_root), MODELS, lists, lists=7)
     assert summary.first()[:4] == (200, 200, 0, 7)
     assert read_tasks(spark, lists).count() == 200
     for k in range(7):
@@ -176,7 +175,7 @@ def test_backlog_split_run_and_merge_empty_the_backlog(spark, folder):
         assert tasks.count() == (29 if k < 6 else 26)
         run = run_tasks(table, tasks, MODELS, ENCODERS, seq=k, output=vectors_root, partitions=2)
         assert _rows(run.status.groupBy("status").count(), "status", "count") == [("processed", tasks.count())]
-    vectors = spark.read.parquet(vectors_root)
+    vectors = read_vectors(spark, vectors_root)
     assert backlog(table, vectors, MODELS).count() == 0
     assert merge_artifacts(spark, root, vectors, ["m1", "m2"]) == 100
     wide = read_years(spark, root)
