@@ -5,8 +5,8 @@ import pytest
 from oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
 ORACLE = entry_module.oracle_sql()
+QUERIES = entry_module.registry.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,4 +24,4 @@ def test_entry_is_a_dataframe_with_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(entry_module.registry.ORACLE)
