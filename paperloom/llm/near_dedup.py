@@ -49,7 +49,7 @@ _DOCS = "doc_id long, n_shingles long, n_shared long, set_key binary, keys array
 
 
 def _chunked(buckets: int):
-    """Per chunk of documents: one row about them (bucket -1), and one row for each bucket."""
+    """Per chunk of documents: one row about them (a bucket below 0), and one row for each bucket."""
     shift = np.uint64(_HASH_BITS - max(buckets.bit_length() - 1, 0))
 
     def run(batches):
@@ -85,7 +85,7 @@ def _chunked(buckets: int):
                 number += 1
                 ids = all_ids[a:b]
                 known = np.array([x is not None for x in ids], dtype=np.uint8)
-                out["bucket"].append(-1)
+                out["bucket"].append(-1 - chunk)
                 out["chunk"].append(chunk)
                 out["tokens"].append(known.tobytes())
                 out["ids"].append(np.array([x or 0 for x in ids], dtype=np.int64).tobytes())
@@ -106,8 +106,14 @@ def _chunked(buckets: int):
     return run
 
 
+_PARTS = "chunk long, tokens binary, held binary, ids binary, sizes binary, sums binary, repeated binary, known binary"
+
+
 def _counted(group: pd.DataFrame) -> pd.DataFrame:
-    """In one bucket, keep entries of shingles that several documents hold; note how many do."""
+    """In one bucket, keep entries of shingles that several documents hold; note how many do. Rows about chunks pass."""
+    names = [part.split()[0] for part in _PARTS.split(", ")]
+    if group["bucket"].iloc[0] < 0:
+        return group.rename(columns={"tokens": "known"}).assign(tokens=b"", held=b"")[names]
     lengths = np.array([len(x) // 8 for x in group["tokens"]])
     entries = np.frombuffer(b"".join(group["tokens"]), dtype=np.uint64)
     weight = np.ones(len(entries), dtype=np.int64)
@@ -126,7 +132,8 @@ def _counted(group: pd.DataFrame) -> pd.DataFrame:
         keep = held[at[k] : at[k + 1]] > 1
         if keep.any():
             rows.append((int(chunk), entries[at[k] : at[k + 1]][keep].tobytes(), np.minimum(held[at[k] : at[k + 1]][keep], 2**31).astype(np.uint32).tobytes()))
-    return pd.DataFrame(rows, columns=["chunk", "tokens", "held"])
+    found = pd.DataFrame(rows, columns=["chunk", "tokens", "held"])
+    return found.assign(ids=b"", sizes=b"", sums=b"", repeated=b"", known=b"")[names]
 
 
 def required(n: np.ndarray | int, percent: int):
@@ -231,17 +238,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 << max(4, int(size * 8 / 6 / BUCKET_BYTES).bit_length())
-    packed = cut_lineage(source.mapInArrow(_chunked(buckets), _CHUNK), "shingles")
-    about = packed.filter("bucket = -1").select(
-        "chunk", F.lit(None).cast("binary").alias("tokens"), F.lit(None).cast("binary").alias("held"), "ids", "sizes", "sums", "repeated", F.col("tokens").alias("known")
-    )
-    counted = (
-        packed.filter("bucket >= 0").select("bucket", "chunk", "tokens", "ids")
-        .groupBy("bucket").applyInPandas(_counted, "chunk long, tokens binary, held binary")
-    )
-    empty = F.lit(b"").cast("binary")
-    shared = counted.select("chunk", "tokens", "held", *(empty.alias(c) for c in ("ids", "sizes", "sums", "repeated", "known")))
-    gathered = cut_lineage(about.unionByName(shared).groupBy("chunk").applyInPandas(_gathered(percent), _DOCS), "sets")
+    packed = source.mapInArrow(_chunked(buckets), _CHUNK)
+    counted = packed.groupBy("bucket").applyInPandas(_counted, _PARTS)
+    gathered = cut_lineage(counted.groupBy("chunk").applyInPandas(_gathered(percent), _DOCS), "sets")
     able = gathered.filter("set_key is not null")
     named = able.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     sets = cut_lineage(
