@@ -7,7 +7,7 @@ times, or the one whose weights have the entropy asked for. Each source then get
 share of the token budget: whole passes over it, and for the rest a prefix of a keyed
 permutation, filled block by block.
 
-All of it is DataFrame work. A source that holds a third of all rows is spread over
+Words are counted once and written, with ids, to the shared folder. A source that holds a third of all rows is spread over
 hash blocks: only the sums of blocks are accumulated in order, and rows only inside one.
 """
 
@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.session import cut_lineage
+
 #: Sources whose shares the driver may hold while it bisects.
 MAX_SOURCES = 100_000
 #: About so many rows share a block of the permutation.
@@ -82,7 +84,7 @@ def mix_sources(
     A null source is a source. Rows with equal id and text follow each other in the
     permutation. An empty table gives no rows.
     """
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens"))
+    rows = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens")), "word-counts")
     totals = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     table = totals.limit(MAX_SOURCES + 1).collect()
     if len(table) > MAX_SOURCES:

@@ -38,6 +38,8 @@ from paperloom.session import cut_lineage
 FREQUENT = 50
 #: A shingle in so many documents of one chunk is sent once for all of them.
 REPEATED = 8
+#: Rounds in which documents meet the most typical one of a key, before components meet each other.
+HUB_ROUNDS = 1
 #: Bytes of packed shingles that one bucket gets, about.
 BUCKET_BYTES = 4 << 20
 _HASH_BITS = 52
@@ -45,7 +47,7 @@ _ALL = np.uint64((1 << 12) - 1)  # stands for "several documents of the chunk"
 _MASK = np.uint64((1 << _HASH_BITS) - 1)
 
 _CHUNK = "bucket long, chunk long, tokens binary, ids binary, sizes binary, sums binary, repeated binary"
-_DOCS = "doc_id long, n_shingles long, n_shared long, set_key binary, keys array<long>, tokens binary"
+_DOCS = "doc_id long, n_shingles long, n_shared long, n_frequent long, set_key binary, keys array<long>, tokens binary"
 
 
 def _chunked(buckets: int):
@@ -142,19 +144,23 @@ def required(n: np.ndarray | int, percent: int):
 
 
 def _keys(tokens: np.ndarray, held: np.ndarray, n: int, percent: int) -> np.ndarray | None:
-    """Keys of one document from the shingles it shares; None if it can have no partner."""
+    """Keys of one document from the shingles it shares, odd for pairs; None if it can have no partner."""
     unique = n - len(tokens)
     prefix = n - required(n, percent) + 1
     if unique >= prefix:
         return None
     rare = np.sort(tokens[held <= FREQUENT])
     if unique + len(rare) >= prefix:
-        return mix(rare[: prefix - unique])
+        return _even(rare[: prefix - unique])
     frequent = np.sort(tokens[held > FREQUENT])
     slack = n * (100 - percent) // 100 + n * (100 - percent) // percent + 2
     extended = frequent[: max(len(frequent) - required(n, percent), 0) + slack + 1]
     pairs = mix(extended[:-1] * np.uint64(0x9E3779B97F4A7C15) + mix(extended[1:])) if len(extended) > 1 else mix(extended)
-    return np.concatenate((mix(rare), pairs))
+    return np.concatenate((_even(rare), pairs | np.uint64(1)))
+
+
+def _even(tokens: np.ndarray) -> np.ndarray:
+    return mix(tokens) & ~np.uint64(1)
 
 
 def _gathered(percent: int):
@@ -164,7 +170,7 @@ def _gathered(percent: int):
         about = group[group["sizes"].str.len() > 0]
         rest = group[group["sizes"].str.len() == 0]
         if not len(about):
-            return pd.DataFrame(columns=["doc_id", "n_shingles", "n_shared", "set_key", "keys", "tokens"])
+            return pd.DataFrame(columns=["doc_id", "n_shingles", "n_shared", "n_frequent", "set_key", "keys", "tokens"])
         about = about.iloc[0]
         ids = np.frombuffer(about["ids"], np.int64)
         known = np.frombuffer(about["known"], np.uint8)
@@ -188,10 +194,10 @@ def _gathered(percent: int):
             tokens = entries[at[k] : at[k + 1]] & _MASK
             keys = _keys(tokens, held[at[k] : at[k + 1]], n, percent) if n and len(tokens) and doc_id is not None else None
             if keys is None:
-                rows.append((doc_id, n, len(tokens), None, None, None))
+                rows.append((doc_id, n, len(tokens), 0, None, None, None))
             else:
-                rows.append((doc_id, n, len(tokens), sums[16 * k : 16 * k + 16] + n.to_bytes(8, "little"), keys.view(np.int64), tokens.tobytes()))
-        return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "n_shared", "set_key", "keys", "tokens"]).astype({"doc_id": "Int64"})
+                rows.append((doc_id, n, len(tokens), int((held[at[k] : at[k + 1]] > FREQUENT).sum()), sums[16 * k : 16 * k + 16] + n.to_bytes(8, "little"), keys.view(np.int64), tokens.tobytes()))
+        return pd.DataFrame(rows, columns=["doc_id", "n_shingles", "n_shared", "n_frequent", "set_key", "keys", "tokens"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -213,11 +219,40 @@ def _linked(percent: int):
 
 
 def _possible(percent: int):
-    """Whether two sets can still reach the similarity, by what they share with anybody."""
-    most = F.least("s_a", "s_b")
+    """Whether two sets of one key can still reach the similarity.
+
+    Under a single's key they share at most what they share with anybody. A pair's key
+    matters to documents without a common rare shingle only, since all their rare ones
+    are keys; those share frequent shingles at most.
+    """
+    most = F.when(F.col("key").bitwiseAND(1) == 1, F.least("f_a", "f_b")).otherwise(F.least("s_a", "s_b"))
     return 100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)
 
 
+def _sides(rows: DataFrame, one: str, two: str) -> DataFrame:
+    """The columns of two documents of one key, ``a`` the smaller id."""
+    pick = [F.col("key")]
+    low = F.col(f"{one}.rep") < F.col(f"{two}.rep")
+    for name, field in (("", "rep"), ("n_", "n"), ("s_", "s"), ("f_", "f")):
+        x, y = F.col(f"{one}.{field}"), F.col(f"{two}.{field}")
+        pick += [F.when(low, x).otherwise(y).alias(f"{name}a"), F.when(low, y).otherwise(x).alias(f"{name}b")]
+    return rows.select(*pick)
+
+
+def _possible_structs(percent: int):
+    """The same test on the structs ``one`` and ``two`` of a join."""
+    most = F.when(F.col("key").bitwiseAND(1) == 1, F.least("one.f", "two.f")).otherwise(F.least("one.s", "two.s"))
+    return 100 * most >= percent * (F.col("one.n") + F.col("two.n") - most)
+
+
+def _torn(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of keys that still hold several components, with their present labels."""
+    rows = rows.select("key", "one", F.col("one.rep").alias("rep")).join(label, "rep", "left")
+    rows = rows.select("key", "one", F.coalesce("label", "rep").alias("label"))
+    torn = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
+    return cut_lineage(rows.join(torn, "key"), "postings")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("tokens").alias("tokens_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("tokens").alias("tokens_b"))
@@ -244,36 +279,33 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     able = gathered.filter("set_key is not null")
     named = able.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     sets = cut_lineage(
-        able.select("doc_id", "n_shingles", "n_shared", "keys", "tokens").join(named, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"]), "able"
-    )
-    postings = sets.select(F.explode("keys").alias("key"), "rep", F.col("n_shingles").alias("n"), F.col("n_shared").alias("s"))
-    several = postings.groupBy("key").agg(
-        F.count(F.lit(1)).alias("docs"), F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "rep", "n", "s")).alias("hub")
-    ).filter("docs > 1")
-    postings = cut_lineage(postings.join(several, "key"), "postings")
-    star = (
-        postings.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
-                        F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("hub.n").alias("n_b"), F.col("hub.s").alias("s_b"))
-        .filter("a <> b").filter(_possible(percent)).select("a", "b").distinct()
-    )
-    checked = cut_lineage(_verified(star, sets, percent), "links")
-    links = checked.filter("linked").select("a", "b")
-    label = components(links).withColumnRenamed("node", "rep")
-    # What one key's documents still have to settle: those in different components, hubs apart.
-    open_rows = postings.join(label, "rep", "left").select(
-        "key", "rep", "n", "s", F.coalesce("label", "rep").alias("label"), F.col("hub.rep").alias("hub")
-    ).filter("rep <> hub")
-    torn = open_rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    open_rows = cut_lineage(open_rows.join(torn, "key").drop("hub"), "open")
-    left = open_rows.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("label").alias("label_a"))
-    right = open_rows.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"), F.col("label").alias("label_b"))
-    rest = (
-        left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _possible(percent))
-        .select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        able.select("doc_id", "n_shingles", "n_shared", "n_frequent", "keys", "tokens").join(named, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"]), "able"
     )
-    late = cut_lineage(_verified(rest, sets, percent), "links").filter("linked").select("a", "b")
+    one = F.struct("own", "rep", "n", "s", "f").alias("one")
+    postings = sets.select(
+        F.explode("keys").alias("key"), (F.col("n_shingles") - F.col("n_frequent")).alias("own"), "rep",
+        F.col("n_shingles").alias("n"), F.col("n_shared").alias("s"), F.col("n_frequent").alias("f"),
+    ).select("key", one)
+    several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("key")
+    rows = cut_lineage(postings.join(several, "key").select("key", "one", F.col("one.rep").alias("label")), "postings")
+    checked = label = None
+    for _ in range(HUB_ROUNDS):
+        # The most typical document of each component in a key meets the key's other components.
+        hubs = rows.groupBy("key").agg(F.min(F.struct("one", "label")).alias("hub"))
+        star = _sides(rows.join(hubs, "key").filter("label <> hub.label").select("key", "one", F.col("hub.one").alias("hub")), "one", "hub")
+        pairs = star.filter(_possible(percent)).select("a", "b").distinct()
+        pairs = pairs if checked is None else pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        found = _verified(pairs, sets, percent)
+        checked = cut_lineage(found if checked is None else checked.unionByName(found), "links")
+        label = components(checked.filter("linked")).withColumnRenamed("node", "rep")
+        rows = _torn(rows, label)
+    # What one key's documents still have to settle: those in different components.
+    left, right = rows.select("key", "one", "label"), rows.select(F.col("key").alias("key_b"), F.col("one").alias("two"), F.col("label").alias("label_b"))
+    met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("one.rep") < F.col("two.rep")) & (F.col("label") != F.col("label_b")) & _possible_structs(percent))
+    rest = met.select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b")).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    late = cut_lineage(_verified(rest, sets, percent), "links")
+    late_label = components(checked.unionByName(late).filter("linked")).withColumnRenamed("node", "rep")
     same = able.join(named, "set_key").select(F.col("doc_id").alias("_doc"), "rep").distinct()
-    late_label = components(links.unionByName(late)).withColumnRenamed("node", "rep") if not late.isEmpty() else label
     named_docs = same.join(late_label, "rep", "left").select("_doc", F.coalesce("label", "rep").alias("component_id"))
     return gathered.select("doc_id", "n_shingles").join(named_docs, F.col("doc_id") == F.col("_doc"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
