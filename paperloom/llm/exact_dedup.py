@@ -112,7 +112,7 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     key = sha256_text(F.col("text")) if digest is None else digest.cast("string")
     source = docs.select("doc_id", "text")
     # The locator orders as doc_id does and is its own row's: repeated rows get different ones.
-    source = source.withColumn("_copy", F.lit(0)) if _unique(source) else _numbered(source)
+    source = source.withColumn("_copy", F.lit(0)) if names_every_row(source) else _numbered(source)
     source = source.select(
         "doc_id", "text",
         F.struct(F.col("doc_id").alias("doc_id"), F.col("_copy").alias("copy")).alias("locator"),
@@ -157,7 +157,7 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     return good.unionByName(split)
 
 
-def _unique(source: DataFrame) -> bool:
+def names_every_row(source: DataFrame) -> bool:
     """Whether ``doc_id`` names every row."""
     found = source.agg(F.count(F.lit(1)), F.count("doc_id")).first()
     if found[0] != found[1]:

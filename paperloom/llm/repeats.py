@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.arrays import chunks, prefix_hash, span_hash, text_bytes
+from paperloom.llm.exact_dedup import names_every_row
 from paperloom.session import cut_lineage
 
 LENGTH = 400
@@ -215,10 +216,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     other. Rows without ``doc_id`` are treated alike, their result has a null id. An
     empty table gives no rows. Other columns are ignored.
     """
-    # Rows get a number of their own, so that missing or repeated ids do no harm.
-    rows = cut_lineage(
-        docs.select(F.col("doc_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text")).withColumn("row", F.monotonically_increasing_id()), "texts"
-    )
+    rows = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"))
+    if names_every_row(docs):
+        rows = rows.withColumn("row", F.col("doc_id").cast("long"))
+    else:  # rows get a number of their own, so that missing or repeated ids do no harm
+        rows = cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()), "texts")
     keyed = rows.select("row", "text", F.xxhash64("text").alias("text_key"), F.sha2("text", 256).alias("sha"), F.length("text").alias("bytes"))
     long = keyed.filter(f"bytes >= {LENGTH}")
     copies = cut_lineage(
