@@ -9,13 +9,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType
 
 _RANK = "__rank"
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Hash of all columns: breaks ties the same way on every run."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    """Hash of all columns: breaks ties the same way on every run, and tells contents apart.
+
+    Spark's hash skips nulls and flattens arrays, so null flags, array sizes and null
+    elements are hashed too.
+    """
+    parts = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        parts += [column, column.isNull()]
+        if isinstance(field.dataType, ArrayType):
+            parts += [F.size(column), F.transform(column, lambda x: x.isNull())]
+    return F.xxhash64(*parts)
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], total: bool = False) -> DataFrame:

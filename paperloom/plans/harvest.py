@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_of, year_request
 from paperloom.functions.text import in_categories
+from paperloom.operators.align import united
 from paperloom.operators.dedup import first_by, latest
 from paperloom.operators.upsert import merge_latest
 from paperloom.operators.years import BOTH_FORMATS
@@ -91,8 +92,9 @@ def harvest_years(
     papers = parse_pages(records, window, categories, only)
     papers = papers.filter(F.col("year").isin(list(years)))
     if mode == "merge" and is_table(spark, root):
-        before = read_years(spark, root, years).select(*PAPER_COLUMNS, "year")
-        papers = merge_latest(before, papers, ("id", "year"))
+        # Every stored column stays, model columns too; rows that the harvest does not touch pass unchanged.
+        before, after = united(read_years(spark, root, years), papers)
+        papers = merge_latest(before, after, ("id", "year"))
     return replace_years(papers, root)
 
 

@@ -12,7 +12,7 @@ from paperloom.operators.align import united
 from paperloom.operators.dedup import keep_last, latest, without_keys
 from paperloom.operators.upsert import change_counts, merge_parts, replaced_keys
 from paperloom.operators.years import split_valid, touched_years, with_year
-from paperloom.schema import ModelSpec
+from paperloom.schema import PAPER_COLUMNS, ModelSpec
 from paperloom.session import cut_lineage
 from paperloom.sinks.tables import replace_years, write_artifacts
 from paperloom.sources.tables import is_table, read_years
@@ -86,7 +86,8 @@ def upsert_years(
         kept = without_keys(read_years(spark, root, years), newest, KEYS)
         merged = _put(newest, kept, arrival, models, fill)
     else:
-        merged = newest.drop(*arrival)
+        # Columns that only tell arrivals apart are not stored; a paper's own are, whatever else they serve for.
+        merged = newest.drop(*[c for c in arrival if c not in PAPER_COLUMNS])
     return UpsertResult(years, replace_years(merged, root), rows_invalid)
 
 
