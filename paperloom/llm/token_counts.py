@@ -14,6 +14,7 @@ and stretches are counted once per batch of texts.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -67,11 +68,19 @@ class Counter:
         if vocabulary.pieces:
             self.automaton.make_automaton()
         self.known = bool(vocabulary.pieces)
+        self.single = frozenset(p for p in vocabulary.pieces if len(p) == 1)
         self.seen: dict[str, int] = {}
 
     def stretch(self, text: str) -> int:
         """Pieces of the best segmentation of ``text``."""
         n = len(text)
+        if self.single.issuperset(text):  # no unknown characters; of matches with one end the longest comes first
+            tops, pieces = [0.0] + [-math.inf] * n, [0] * (n + 1)
+            for end, (size, score) in self.automaton.iter(text):
+                total = tops[end + 1 - size] + score
+                if total > tops[end + 1]:
+                    tops[end + 1], pieces[end + 1] = total, pieces[end + 1 - size] + 1
+            return pieces[n]
         ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         if self.known:
             for end, piece in self.automaton.iter(text):
