@@ -19,8 +19,11 @@ from paperloom.session import cut_lineage, drop_scratch, shared_dir
 
 #: Rows of one digest that one task compares with the kept text.
 HITS_PER_TASK = 10_000
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each of many small stores would else reserve megabytes for its logs in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256_text(text: Column) -> Column:
@@ -30,12 +33,14 @@ def sha256_text(text: Column) -> Column:
 
 @contextmanager
 def _disk_state(spark: SparkSession):
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKS)
+    before = {key: spark.conf.get(key, None) for key in _STATE}
+    for key, value in _STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def digest_state(landed: str, spark: SparkSession, schema, checkpoint: str, output: str) -> None:
