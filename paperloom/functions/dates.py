@@ -12,7 +12,14 @@ from paperloom.functions.text import _col
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 DATE_FORMAT = "yyyy-MM-dd"
 FEED_FORMAT = "d MMM yyyy HH:mm:ss Z"
+# Zone names of the feed date format.
+ZONES = {
+    "GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000",
+    "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
 WINDOW_DAYS = 2
+_FRACTION = r"(:\d\d)\.\d+"
 
 
 def year_of(c: Column | str, formats: tuple[str, ...] = (TIMESTAMP_FORMAT,)) -> Column:
@@ -29,12 +36,15 @@ def format_utc(ts: Column | str) -> Column:
 def feed_date(c: Column | str) -> Column:
     """Stored text of a feed date such as ``Mon, 01 Jan 2024 00:00:00 -0500``.
 
-    The weekday is dropped before parsing and zone names are written as offsets; text
-    that is no date gives null.
+    The weekday and fractions of a second are dropped before parsing, absent seconds are
+    0, and zone names are written as offsets; text that is no date gives null.
     """
     text = F.regexp_replace(_col(c), r"^\s*[A-Za-z]{3},\s*", "")
-    text = F.regexp_replace(F.btrim(text), r"(GMT|UTC|UT|Z)$", "+0000")
-    iso = F.regexp_replace(F.btrim(_col(c)), r"Z$", "+0000")
+    text = F.regexp_replace(F.btrim(text), _FRACTION, "$1")
+    text = F.regexp_replace(text, r"^(\S+ \S+ \S+ \d\d:\d\d)(?=\s)", "$1:00")
+    for name, offset in ZONES.items():
+        text = F.regexp_replace(text, rf"\b{name}$", offset)
+    iso = F.regexp_replace(F.regexp_replace(F.btrim(_col(c)), _FRACTION, "$1"), r"Z$", "+0000")
     parsed = F.coalesce(
         F.try_to_timestamp(text, F.lit(FEED_FORMAT)),
         F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ssZ")),

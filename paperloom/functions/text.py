@@ -32,11 +32,19 @@ def flatten_text(c: Column | str) -> Column:
     return strip(F.replace(or_empty(c), F.lit("\n"), F.lit(" ")))
 
 
-def author_names(authors: Column | str) -> Column:
-    """Full names from ``array<struct<keyname,forenames>>`` in order, empty ones dropped."""
+def author_names(authors: Column | str, plain: str | None = None) -> Column:
+    """Full names from ``array<struct<keyname,forenames>>`` in order, empty ones dropped.
+
+    An author without name parts is known by the text in the field ``plain``, if named.
+    """
+
+    def full(a: Column) -> Column:
+        name = strip(F.concat(or_empty(a["forenames"]), F.lit(" "), or_empty(a["keyname"])))
+        return name if plain is None else F.coalesce(F.nullif(name, F.lit("")), strip(or_empty(a[plain])))
+
     names = F.transform(
         F.coalesce(_col(authors), F.array()),
-        lambda a: strip(F.concat(or_empty(a["forenames"]), F.lit(" "), or_empty(a["keyname"]))),
+        full,
     )
     return F.filter(names, lambda n: n != "")
 

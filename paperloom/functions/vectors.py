@@ -13,6 +13,11 @@ NEAR_ZERO = 1e-7
 PREVIEW_LENGTH = 5
 
 
+def newest_first(seq: Column | str, absent: Column, *tie: Column) -> Column:
+    """What the newest row of a (paper, model) is the greatest of: its ``seq``, and at equal ``seq`` a row without vector wins."""
+    return F.struct(_col(seq).alias("seq"), absent.alias("absent"), *[t.alias(f"tie{k}") for k, t in enumerate(tie)])
+
+
 def vector_sum(v: Column | str) -> Column:
     """Sum of the elements in double precision; null elements are skipped, null stays null."""
     return F.aggregate(_col(v), F.lit(0.0), lambda acc, x: acc + F.coalesce(x.cast("double"), F.lit(0.0)))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.functions.vectors import needs_vector, needs_vector_sum, near_zero_sum, vector_sum
+from paperloom.functions.vectors import needs_vector, needs_vector_sum, near_zero_sum, newest_first, vector_sum
 from paperloom.schema import ModelSpec
 
 
@@ -39,10 +39,11 @@ def backlog(
     keys = dimensioned(models)
     total = F.col("vector_sum") if "vector_sum" in vectors.columns else vector_sum("vector")
     state = vectors.filter(F.col("model_key").isin(keys)).select(
-        "id", "year", "model_key", "seq", (~needs_vector_sum(total, retry_nan)).alias("usable")
+        "id", "year", "model_key", newest_first("seq", total.isNull(), total).alias("place"),
+        (~needs_vector_sum(total, retry_nan)).alias("usable"),
     )
     flags = [
-        F.max_by("usable", F.when(F.col("model_key") == key, F.col("seq"))).alias(f"__has_{key}")
+        F.max_by("usable", F.when(F.col("model_key") == key, F.col("place"))).alias(f"__has_{key}")
         for key in keys
     ]
     usable = state.groupBy("id", "year").agg(*flags)

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paperloom.functions.vectors import vector_sum, zero_vector
+from paperloom.functions.vectors import newest_first, vector_sum, zero_vector
 from paperloom.schema import ModelSpec
 
 KEYS = ("id", "year")
+_HAS = "__has_"
 
 
 def _is_nan(v: Column) -> Column:
@@ -51,17 +52,21 @@ def collapse(
 ) -> DataFrame:
     """One row per paper with one column per model: the last artifact vector by ``seq``.
 
-    A null vector is passed over, or with ``skip_null=False`` hides the earlier ones. One
+    A null vector is passed over, or with ``skip_null=False`` hides the earlier ones and
+    those of its own ``seq``; flag columns then tell which models have a row. One
     aggregation with map-side combine does both the choice and the pivot, so each vector
     is shuffled once, and repeated ids shrink before they move.
     """
     usable = F.col("vector").isNotNull() if skip_null else F.lit(True)
     if ignore_nan:
         usable = usable & ~_is_nan(F.col("vector"))
-    order = F.struct(F.col("seq"), F.xxhash64("vector"))
+    order = newest_first("seq", F.col("vector").isNull(), F.xxhash64("vector"))
     chosen = [
         F.max_by("vector", F.when(usable & (F.col("model_key") == key), order)).alias(key) for key in keys
     ]
+    if not skip_null:
+        # Tells a newest row without vector from a model without any row.
+        chosen += [F.bool_or(usable & (F.col("model_key") == key)).alias(f"{_HAS}{key}") for key in keys]
     return artifacts.filter(F.col("model_key").isin(list(keys))).groupBy(*on).agg(*chosen)
 
 
@@ -75,15 +80,21 @@ def overlay(
 ) -> DataFrame:
     """Apply all artifacts ``(id, year, model_key, vector, seq)`` in one left join.
 
-    Equal to updating or adding one model column per artifact in ``seq`` order.
+    Equal to updating or adding one model column per artifact in ``seq`` order. With
+    ``skip_null=False`` a newest row without vector clears the column.
     """
     latest = collapse(artifacts, keys, on, ignore_nan, skip_null)
-    latest = latest.select(*on, *[F.col(f"`{k}`").alias(f"__new_{k}") for k in keys])
+    flags = [] if skip_null else [F.col(f"`{_HAS}{k}`") for k in keys]
+    latest = latest.select(*on, *[F.col(f"`{k}`").alias(f"__new_{k}") for k in keys], *flags)
     joined = papers.join(latest, list(on), "left")
 
     def value(key: str) -> Column:
         new = F.col(f"`__new_{key}`")
-        return F.coalesce(new, F.col(f"`{key}`")) if key in papers.columns else new
+        if key not in papers.columns:
+            return new
+        if skip_null:
+            return F.coalesce(new, F.col(f"`{key}`"))
+        return F.when(F.coalesce(F.col(f"`{_HAS}{key}`"), F.lit(False)), new).otherwise(F.col(f"`{key}`"))
 
     kept = [F.col(f"`{c}`") for c in papers.columns if c not in keys]
     return joined.select(*kept, *[value(key).alias(key) for key in keys])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -61,6 +63,23 @@ def change_counts(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("i
     )
 
 
+def matched(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order: str, nulls: str = "last") -> DataFrame:
+    """Rows of a keyed increment whose key is stored, each with ``__wins``: whether it replaces the stored row.
+
+    A row that says the same in the columns both sides have replaces nothing, so a
+    redelivered row leaves whatever else is stored beside it, such as vectors. Otherwise
+    the greater ``order`` wins, and at equal values the increment. ``nulls`` says
+    whether a missing value is the least (``last``) or the greatest (``first``).
+    """
+    shared = [c for c in increment.columns if c in stored.columns and c not in keys]
+    old = stored.select(*keys, *[F.col(f"`{c}`").alias(f"__old_{c}") for c in shared])
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__old_{c}`")) for c in shared], F.lit(True))
+    new_value, old_value = F.col(f"`{order}`"), F.col(f"`__old_{order}`")
+    least = old_value.isNull() if nulls == "last" else new_value.isNull()
+    later = least | F.coalesce(new_value >= old_value, F.lit(False))
+    return increment.join(old, list(keys)).select(*[F.col(f"`{c}`") for c in increment.columns], (~same & later).alias("__wins"))
+
+
 def replaced_keys(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("id", "year")) -> DataFrame:
     """Keys of rows the merge replaced by other content."""
     compared = [c for c in before.columns if c in after.columns and c not in keys]

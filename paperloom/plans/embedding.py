@@ -22,7 +22,7 @@ from paperloom.operators.years import touched_years
 from paperloom.schema import ModelSpec
 from paperloom.session import cut_lineage, shared_dir
 from paperloom.sinks.tables import replace_years, write_artifacts, write_tasks
-from paperloom.sources.tables import read_vectors, read_years
+from paperloom.sources.tables import next_seq, read_vectors, read_years
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -79,7 +79,7 @@ def run_tasks(
     tasks: DataFrame,
     models: Mapping[str, ModelSpec],
     encoders: Mapping[str, EncoderFactory],
-    seq: int = 0,
+    seq: int | None = None,
     output: str | None = None,
     batch_size: int = BATCH_SIZE,
     partitions: int | None = None,
@@ -89,7 +89,8 @@ def run_tasks(
 
     Each configured model is one job: papers are first cut to that model's tasks, then
     spread over ``partitions`` encoder tasks, which load this model only. Vectors are
-    appended to ``output`` once and the log is made from what was written there.
+    appended to ``output`` once and the log is made from what was written there. ``seq`` is
+    this run's place in the vector history, by default the next free one of ``output``.
 
     A task fails when its model is not configured, its paper is not in the table, or the
     encoder did not start. A text that could not be embedded gets a NaN vector and counts
@@ -97,6 +98,7 @@ def run_tasks(
     """
     spark = papers.sparkSession
     root = output or shared_dir(spark, "vectors")
+    seq = next_seq(spark, root) if seq is None else seq
     texts = papers.select("id", "year", embed_text().alias("text"))
     ready = {k: m for k, m in models.items() if m.name and m.dimension and k in encoders}
     not_started = F.coalesce(F.startswith("error", F.lit(NOT_STARTED)), F.lit(False))
@@ -171,10 +173,10 @@ def merge_artifacts(
 ) -> int:
     """Overlay long artifacts onto the wide yearly table. Returns the rows rewritten.
 
-    Only years that have artifacts are read and replaced.
+    A newest row without vector, as forgotten papers have, clears the column. Only years that have artifacts are read and replaced.
     """
     years = touched_years(artifacts)
     if not years:
         return 0
     papers = read_years(spark, root, years)
-    return replace_years(overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan), root)
+    return replace_years(overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan, skip_null=False), root)

@@ -76,14 +76,15 @@ def harvest_years(
 ) -> int:
     """Build years of the table from their landed pages, in one job. Returns rows written.
 
-    ``replace`` rebuilds a year and so needs a complete harvest; ``merge`` keeps papers
+    Unless ``check_complete`` is off, the harvest must be complete and its pages well
+    formed. ``replace`` rebuilds a year from nothing else; ``merge`` keeps papers
     of the existing year that the harvest lacks, and the later version of those in both.
     Years without a record stay as they are.
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"mode must be replace or merge, not {mode}")
     records = landed_records(spark, path)
-    if mode == "replace" and check_complete:
+    if check_complete:
         # Parsed once; the check and the table both read the parsed records.
         records = cut_lineage(records, "landed")
         require_complete(records, read_envelope(spark, path))
@@ -106,12 +107,18 @@ def harvest_window(
     days: int = WINDOW_DAYS,
     start: dt.date | None = None,
     categories: Sequence[str] = (),
+    check_complete: bool = True,
 ) -> int:
     """Build one increment from the landed pages of a date window. Returns its rows.
 
-    An empty window still writes a table with the paper schema.
+    Unless ``check_complete`` is off, the harvest must be complete and its pages well
+    formed. An empty window still writes a table with the paper schema.
     """
-    papers = parse_pages(landed_records(spark, path), request_window(until, days, start), categories)
+    records = landed_records(spark, path)
+    if check_complete:
+        records = cut_lineage(records, "landed")
+        require_complete(records, read_envelope(spark, path))
+    papers = parse_pages(records, request_window(until, days, start), categories)
     newest = latest(papers).select(*PAPER_COLUMNS)
     return write_snapshot(newest, output)
 

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.operators.align import united
 from paperloom.operators.dedup import keep_last, latest, without_keys
-from paperloom.operators.upsert import change_counts, merge_parts, replaced_keys
+from paperloom.operators.upsert import matched, replaced_keys
 from paperloom.operators.years import split_valid, touched_years, with_year
 from paperloom.schema import PAPER_COLUMNS, ModelSpec
 from paperloom.session import cut_lineage
 from paperloom.sinks.tables import replace_years, write_artifacts
-from paperloom.sources.tables import is_table, read_years
+from paperloom.sources.tables import is_table, next_seq, read_years
 
 KEYS = ("id", "year")
 
@@ -70,11 +70,15 @@ def upsert_years(
     arrival: Sequence[str] = (),
     models: Mapping[str, ModelSpec] | None = None,
     fill: str = "null",
+    vectors_root: str | None = None,
+    seq: int | None = None,
 ) -> UpsertResult:
     """Assign years to a batch and upsert them into the table at ``root``.
 
     Only the years in the batch are read and rewritten. Rows without a year are counted,
-    and written to ``quarantine`` if given.
+    and written to ``quarantine`` if given. With ``vectors_root``, papers whose content
+    the batch changes lose their vectors of ``models`` there; ``seq`` is this run's place
+    in the vector history, by default the next free one.
     """
     valid, invalid = split_valid(with_year(batch, rule, formats))
     newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
@@ -83,7 +87,12 @@ def upsert_years(
     if not years:
         return UpsertResult([], 0, rows_invalid)
     if is_table(spark, root):
-        kept = without_keys(read_years(spark, root, years), newest, KEYS)
+        stored = read_years(spark, root, years)
+        if vectors_root and models:
+            metadata = stored.select(*[c for c in stored.columns if c not in models])
+            changed = replaced_keys(metadata, newest.drop(*models), KEYS)
+            forget_vectors(changed, list(models), vectors_root, next_seq(spark, vectors_root) if seq is None else seq)
+        kept = without_keys(stored, newest, KEYS)
         merged = _put(newest, kept, arrival, models, fill)
     else:
         # Columns that only tell arrivals apart are not stored; a paper's own are, whatever else they serve for.
@@ -115,35 +124,36 @@ def merge_increment(
     nulls: str = "last",
     vectors_root: str | None = None,
     models: Mapping[str, ModelSpec] | None = None,
-    seq: int = 0,
+    seq: int | None = None,
 ) -> MergeResult:
     """Merge an increment into one year, keeping the row with the latest ``updated`` per id.
 
-    A year that does not exist yet becomes the deduplicated increment. With
-    ``vectors_root``, papers whose row was replaced lose their vectors of ``models``, so
-    that they are embedded again; ``seq`` is this run's place in the vector history.
+    A year that does not exist yet becomes the deduplicated increment. A row that only
+    repeats what is stored changes nothing; one that differs at an equal ``updated`` wins.
+    With ``vectors_root``, papers whose row was replaced lose their vectors of ``models``,
+    so that they are embedded again; ``seq`` is this run's place in the vector history,
+    by default the next free one.
+
+    The increment is cut to one row per id first. The stored year is read once to compare
+    metadata and once to be written.
     """
-    batch = with_year(increment, year)
+    newest = latest(with_year(increment, year), KEYS, nulls=nulls)
     if not is_table(spark, f"{root}/year={year}"):
-        rows = replace_years(latest(batch, KEYS, nulls=nulls), root)
+        rows = replace_years(newest, root)
         return MergeResult(rows, rows, 0, 0, rows)
-    batch = cut_lineage(batch, "increment")
-    old, new = united(read_years(spark, root, [year]), batch)
-    untouched, touched, winners = merge_parts(old, new, KEYS, nulls=nulls)
-    winners = cut_lineage(winners, "winners")
-    counts = change_counts(touched, winners, KEYS).first()
-    result = MergeResult(
-        rows_written=0,
-        inserted=counts["inserted"],
-        updated=counts["updated"],
-        unchanged=old.count() - counts["updated"],
-        net_growth=counts["net_growth"],
-    )
-    if vectors_root and models and result.updated:
-        forget_vectors(replaced_keys(touched, winners, KEYS), list(models), vectors_root, seq)
-    if not result.inserted and not result.updated:
+    newest = cut_lineage(newest, "increment")
+    stored = read_years(spark, root, [year])
+    met = cut_lineage(matched(stored, newest, KEYS, "updated", nulls), "matched")
+    replacing = met.filter("__wins").drop("__wins")
+    added = without_keys(newest, met, KEYS)
+    inserted, updated = added.count(), replacing.count()
+    result = MergeResult(0, inserted, updated, stored.count() - updated, inserted)
+    if not inserted and not updated:
         return result
-    return replace(result, rows_written=replace_years(untouched.unionByName(winners), root))
+    if vectors_root and models and updated:
+        forget_vectors(replacing, list(models), vectors_root, next_seq(spark, vectors_root) if seq is None else seq)
+    old, new = united(without_keys(stored, replacing, KEYS), replacing.unionByName(added))
+    return replace(result, rows_written=replace_years(old.unionByName(new), root))
 
 
 def forget_vectors(papers: DataFrame, model_keys: Sequence[str], root: str, seq: int) -> None:

@@ -11,7 +11,7 @@ from paperloom.schema import PAPER_COLUMNS
 RECORD_SCHEMA = (
     "header struct<identifier:string,datestamp:string,setSpec:array<string>,_status:string>, "
     "metadata struct<arXiv:struct<id:string,created:string,updated:string,"
-    "authors:struct<author:array<struct<keyname:string,forenames:string>>>,"
+    "authors:struct<author:array<struct<_VALUE:string,keyname:string,forenames:string>>>,"
     "title:string,categories:string,license:string,abstract:string>>, "
     "_corrupt_record string"
 )
@@ -65,15 +65,17 @@ def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) -> DataFrame:
-    """Per harvested list: records found, announced size, and whether the harvest is whole.
+    """Per harvested list: distinct records found, announced size, and whether the harvest is whole.
 
     ``source`` names the list a page belongs to. A list is whole when no page reported an
     error other than an empty result, no page is corrupt, the announced size, if any, was
     reached, and not every page asks for another one.
     """
-    found = records.groupBy("page").agg(
-        F.count("identifier").alias("record_count"), F.bool_or("corrupt").alias("corrupt")
-    )
+    seen = records.groupBy("page", "identifier").agg(F.bool_or("corrupt").alias("corrupt"))
+    found = seen.groupBy("page").agg(F.bool_or("corrupt").alias("corrupt"))
+    # A page that was requested again delivers its records again; each counts once for its list.
+    counted = seen.filter(F.col("identifier").isNotNull()).select(source.alias("source"), "identifier").distinct()
+    counted = counted.groupBy("source").agg(F.count(F.lit(1)).alias("record_count"))
     failed = F.col("error_code").isNotNull() & (F.col("error_code") != NO_RECORDS)
     trailers = envelope.groupBy("page").agg(
         F.max("list_size").alias("list_size"),
@@ -81,11 +83,11 @@ def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) ->
         F.bool_or(F.col("token").isNotNull()).alias("continued"),
     )
     lists = found.join(trailers, ["page"], "full_outer").groupBy(source.alias("source")).agg(
-        F.coalesce(F.sum("record_count"), F.lit(0).cast("bigint")).alias("record_count"),
         F.max("list_size").alias("list_size"),
         F.bool_or(F.coalesce("failed", F.lit(False)) | F.coalesce("corrupt", F.lit(False))).alias("failed"),
         (F.count_if("continued") < F.count(F.lit(1))).alias("ended"),
     )
+    lists = lists.join(counted, ["source"], "left").withColumn("record_count", F.coalesce("record_count", F.lit(0).cast("bigint")))
     reached = F.col("record_count") >= F.coalesce("list_size", "record_count")
     complete = ~F.col("failed") & reached & F.col("ended")
     return lists.select("source", "record_count", "list_size", complete.alias("complete"))
@@ -105,7 +107,7 @@ def normalize_oai(records: DataFrame, *extra: Column | str, only_valid: bool = T
     paper = {
         "id": F.nullif(meta["id"], F.lit("")),
         "title": flatten_text(meta["title"]),
-        "authors": author_names(meta["authors"]["author"]),
+        "authors": author_names(meta["authors"]["author"], plain="_VALUE"),
         "abstract": flatten_text(meta["abstract"]),
         "date": primary_date(meta["updated"], meta["created"]),
         "categories": split_categories(meta["categories"]),

@@ -52,6 +52,12 @@ def read_vectors(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(VECTOR_SCHEMA).parquet(root)
 
 
+def next_seq(spark: SparkSession, root: str) -> int:
+    """The next free place in the vector history at ``root``."""
+    newest = read_vectors(spark, root).agg(F.max("seq")).first()[0]
+    return 0 if newest is None else newest + 1
+
+
 def artifact_year(name: Column | str) -> Column:
     return F.regexp_extract(_col(name), ARTIFACT_NAME, 1).cast("int")
 
@@ -60,14 +66,26 @@ def artifact_model(name: Column | str) -> Column:
     return F.regexp_extract(_col(name), ARTIFACT_NAME, 2)
 
 
+def _has_match(spark: SparkSession, pattern: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def read_artifacts(spark: SparkSession, root: str, model_keys: Iterable[str]) -> DataFrame:
     """Named artifact files as long rows ``(id, year, model_key, vector, seq)``.
 
     Files of different models have different columns, so each registered model is one
-    scan. ``seq`` is the number of the work list, which is the order they are applied in.
+    scan; a model without any file has no rows. A null vector in a file says nothing and
+    is left out. ``seq`` is the number of the work list, which is the order they are
+    applied in.
     """
+    model_keys = list(model_keys)
+    if not model_keys:
+        raise ValueError("name at least one model")
     out = None
     for key in model_keys:
+        if not _has_match(spark, f"{root}/{ARTIFACT_GLOB.format(key=key)}"):
+            continue
         path = F.col("_metadata.file_path")
         rows = (
             spark.read.schema(f"id string, `{key}` array<float>")
@@ -79,10 +97,11 @@ def read_artifacts(spark: SparkSession, root: str, model_keys: Iterable[str]) ->
                 F.col(f"`{key}`").alias("vector"),
                 F.regexp_extract(path, MATRIX_NAME, 1).cast("bigint").alias("seq"),
             )
+            .filter("vector is not null")
         )
         out = rows if out is None else out.unionByName(rows)
     if out is None:
-        raise ValueError("name at least one model")
+        return spark.createDataFrame([], "id string, year int, model_key string, vector array<float>, seq bigint")
     return out
 
 

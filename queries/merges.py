@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from paperloom.operators.backlog import backlog
 from paperloom.operators.dedup import latest
 from paperloom.operators.upsert import change_counts, merge_latest
 from paperloom.operators.years import with_year
 from paperloom.plans import merge_increment, upsert_years
 from paperloom.plans.merge import upserted
+from paperloom.schema import ModelSpec
 from paperloom.session import shared_dir
-from paperloom.sinks.tables import write_years
-from paperloom.sources.tables import read_years
+from paperloom.sinks.tables import write_artifacts, write_years
+from paperloom.sources.tables import read_vectors, read_years
+from pyspark.sql import functions as F
 from queries import query
 from queries.dedup_union import UPDATES, base_and_updates
 from queries.derived import INCREMENT, PAPER_TABLE, increment, paper_table, papers, with_papers
@@ -134,3 +137,42 @@ def x4_upsert_papers(spark, sf_dir):
     old = paper_table(spark, sf_dir).select("id", "year", "seq", "title")
     new = with_year(increment(spark, sf_dir)).select("id", "year", "seq", "title")
     return upserted(old, new, ("seq",)).select("id", "year", "seq", "title")
+
+
+@query(
+    "x5_redelivery_wide",
+    with_papers(
+        "select id, 2024 as year, seq, title, updated, m1 is not null as has_vector from (select *, row_number() over "
+        "(partition by id order by updated desc nulls last, seq) as rn from papers) where rn = 1"
+    ),
+)
+def x5_redelivery_wide(spark, sf_dir):
+    """A wide stored year gets its own records again, without vectors: nothing changes."""
+    root = shared_dir(spark, "q-redelivered")
+    stored = latest(papers(spark, sf_dir), tie=("seq",)).select(*COLUMNS, "m1")
+    write_years(with_year(stored, 2024), root)
+    merge_increment(spark, stored.drop("m1"), root, 2024)
+    return read_years(spark, root).select("id", "year", "seq", "title", "updated", F.col("m1").isNotNull().alias("has_vector"))
+
+
+@query(
+    "x4_forget",
+    with_papers(
+        "select i.id, 2024 as year, 'm1' as model_key from (select *, row_number() over (partition by id order by seq desc) as rn "
+        "from increment) i left join existing e on e.id = i.id where rn = 1 and (e.id is null or i.seq <> e.seq "
+        "or i.title is distinct from e.title or i.updated is distinct from e.updated)",
+        EXISTING, INCREMENT,
+    ),
+)
+def x4_forget(spark, sf_dir):
+    """Every stored paper has a vector; after an upsert the backlog is what the batch changed or added."""
+    root, vectors_root = shared_dir(spark, "q-forget"), shared_dir(spark, "q-forget-vectors")
+    models = {"m1": ModelSpec("m1", "one", 1)}
+    stored = with_year(existing(spark, sf_dir), 2024)
+    write_years(stored, root)
+    vector = {"model_key": F.lit("m1"), "vector": F.array(F.lit(1.0).cast("float")), "vector_sum": F.lit(1.0), "seq": F.lit(0).cast("bigint")}
+    write_artifacts(stored.select("id", "year").withColumns(vector), vectors_root)
+    batch = increment(spark, sf_dir).select(*COLUMNS)
+    upsert_years(spark, batch, root, rule=2024, arrival=("seq",), models=models, vectors_root=vectors_root)
+    table = read_years(spark, root)
+    return backlog(table, read_vectors(spark, vectors_root), models)

@@ -98,6 +98,9 @@ def test_feed_date(spark):
         "Mon, 1 Jan 2024 23:30:00 +0130",
         "2024-01-01T00:00:00-05:00",
         "2024-01-01T00:00:00Z",
+        "Mon, 01 Jan 2024 00:00:00 EST",
+        "Mon, 01 Jan 2024 00:00 PDT",
+        "2024-01-01T00:00:00.250Z",
         "someday",
         None,
     ]
@@ -107,6 +110,9 @@ def test_feed_date(spark):
         "2024-01-01T22:00:00Z",
         "2024-01-01T05:00:00Z",
         "2024-01-01T00:00:00Z",
+        "2024-01-01T05:00:00Z",
+        "2024-01-01T07:00:00Z",
+        "2024-01-01T00:00:00Z",
         None,
         None,
     ]

@@ -157,6 +157,45 @@ def test_increment_merge_counts_and_forgets_vectors(spark, folder):
     assert literal.inserted == 0
 
 
+def test_redelivery_keeps_wide_vectors_and_a_correction_wins(spark, folder):
+    root = folder("table")
+    rows = [("a", "2024-01-01", "t"), ("b", None, "t"), ("c", "2024-01-05", "t")]
+    first = spark.createDataFrame(rows, "id string, updated string, title string")
+    write_years(first.withColumns({"m1": F.array(F.lit(1.0).cast("float")), "year": F.lit(2024)}), root)
+    again = merge_increment(spark, first, root, 2024)
+    assert (again.inserted, again.updated, again.unchanged, again.rows_written) == (0, 0, 3, 0)
+    fixed = spark.createDataFrame([("a", "2024-01-01", "s"), ("b", None, "s"), ("c", None, "s")], first.schema)
+    assert merge_increment(spark, fixed, root, 2024).updated == 2
+    assert _rows(read_years(spark, root), "id", "title", "m1") == [("a", "s", None), ("b", "s", None), ("c", "t", [1.0])]
+
+
+def test_forgotten_vectors_stay_forgotten(spark, folder):
+    root, vectors_root = folder("table"), folder("vectors")
+    write_years(_papers(spark, 4), root)
+    table = read_years(spark, root)
+    run_tasks(table, _all_tasks(table), MODELS, ENCODERS, output=vectors_root)
+    merge_artifacts(spark, root, read_vectors(spark, vectors_root), list(MODELS))
+    batch = spark.createDataFrame([("p1", "2024-01-01T00:00:00Z", "new"), ("p2", "2024-01-01T00:00:00Z", "title 2")], "id string, created string, title string")
+    # The same seq as the vectors: the forgotten rows win the tie.
+    upsert_years(spark, batch, root, models=MODELS, vectors_root=vectors_root, seq=0)
+    vectors = read_vectors(spark, vectors_root)
+    assert _rows(backlog(read_years(spark, root), vectors, MODELS), "id", "model_key") == [("p1", "m1"), ("p1", "m2")]
+    merge_artifacts(spark, root, vectors, list(MODELS))
+    assert _rows(read_years(spark, root).filter("m1 is null"), "id") == [("p1",)]
+    again = run_tasks(read_years(spark, root), backlog(read_years(spark, root), vectors, MODELS), MODELS, ENCODERS, output=vectors_root)
+    assert again.vectors.count() == 2 and backlog(read_years(spark, root), read_vectors(spark, vectors_root), MODELS).isEmpty()
+
+
+def test_malformed_pages_stop_a_window_and_a_merge(spark, folder):
+    path, root = folder("broken"), folder("table")
+    _page(path, "1.xml", _record("a"), "<record><header></metadata></record>", _record("c"))
+    with pytest.raises(RuntimeError, match="incomplete"):
+        harvest_window(spark, path, folder("window"), until=dt.date(2024, 1, 3))
+    with pytest.raises(RuntimeError, match="incomplete"):
+        harvest_years(spark, path, root, [2024], TODAY, mode="merge")
+    assert harvest_window(spark, path, folder("window"), until=dt.date(2024, 1, 3), check_complete=False) >= 1
+
+
 def _all_tasks(papers):
     keys = F.array(*[F.lit(k) for k in MODELS])
     return papers.select("id", "year", F.explode(keys).alias("model_key"))

@@ -46,8 +46,8 @@ def _token(text, size):
 def pages(folder):
     path = folder("pages")
     two = AUTHOR.format("Roe", "R.") + "<author><keyname>Group</keyname></author><author><keyname></keyname></author>"
-    _page(path, "1.xml", _record("a"), DELETED, NO_ID, _record("b", authors=two), trailer=_token("next", 6))
-    _page(path, "2.xml", _record("a", updated="<updated>2024-01-02</updated>", title="Second\nversion"), trailer=_token("", 6))
+    _page(path, "1.xml", _record("a"), DELETED, NO_ID, _record("b", authors=two), trailer=_token("next", 5))
+    _page(path, "2.xml", _record("a", updated="<updated>2024-01-02</updated>", title="Second\nversion"), trailer=_token("", 5))
     _page(path, "3.xml", _record("c", authors="", title="", stamp="2025-01-01"))
     return path
 
@@ -65,6 +65,12 @@ def test_records_and_normalisation(spark, pages):
     assert rows["a", "2024-01-02"].title == "Second version" and rows["a", "2024-01-02"].date == "2024-01-02"
 
 
+def test_authors_given_as_plain_text(spark, folder):
+    path = folder("plain")
+    _page(path, "1.xml", _record("a", authors="<author> Jane Doe </author>" + AUTHOR.format("Roe", "R.")), _record("b", authors="<author>Solo</author>"))
+    assert {r.id: r.authors for r in normalize_oai(read_oai(spark, path)).collect()} == {"a": ["Jane Doe", "R. Roe"], "b": ["Solo"]}
+
+
 def test_parse_pages_keeps_the_latest(spark, pages):
     rows = {(r.id, r.year): r.updated for r in parse_pages(landed_records(spark, pages)).collect()}
     assert rows == {("a", 2024): "2024-01-02", ("b", 2024): None, ("c", 2025): None}
@@ -78,12 +84,17 @@ def _check(spark, path):
 
 def test_envelope_and_completeness(spark, pages, folder):
     trailers = sorted((r.token or "", r.list_size) for r in read_envelope(spark, pages).collect())
-    assert trailers == [("", 6), ("next", 6)]
+    assert trailers == [("", 5), ("next", 5)]
     _check(spark, pages)
     short = folder("short")
     _page(short, "1.xml", _record("a"), trailer=_token("", 2))
     with pytest.raises(RuntimeError, match="incomplete harvest"):
         _check(spark, short)
+    twice = folder("twice")
+    _page(twice, "1.xml", _record("a"), _record("b"), trailer=_token("next", 4))
+    _page(twice, "1-again.xml", _record("a"), _record("b"), trailer=_token("", 4))
+    with pytest.raises(RuntimeError, match="incomplete harvest"):
+        _check(spark, twice)
     unfinished = folder("unfinished")
     _page(unfinished, "1.xml", _record("a"), trailer=_token("next", ""))
     with pytest.raises(RuntimeError, match="incomplete harvest"):
@@ -182,6 +193,7 @@ def test_named_artifacts(spark, folder):
         pq.write_table(table, os.path.join(path, f"embedded-{year}.parquet-{key}.parquet"))
     rows = {(r.year, r.model_key): (r.id, r.vector, r.seq) for r in read_artifacts(spark, root, ["m1", "m_2"]).collect()}
     assert rows == {(2023, "m1"): ("a", [1.0], 0), (2024, "m1"): ("a", [2.0], 11), (2024, "m_2"): ("a", [3.0], 2)}
+    assert read_artifacts(spark, root, ["none", "m1"]).count() == 2 and read_artifacts(spark, root, ["none"]).count() == 0
 
 
 def test_task_array(spark, folder):

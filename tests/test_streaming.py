@@ -65,6 +65,16 @@ def test_pages_as_a_stream(spark, folder):
     assert drain() == ["a", "b", "c"]
 
 
+def test_malformed_pages_are_set_aside(spark, folder):
+    path, root, bad = folder("pages"), folder("table"), folder("bad")
+    _page(path, "1.xml", _record("a"), "<record><header></metadata></record>")
+    upsert_stream(stream_oai(spark, path), root, folder("s1"), rule=2024, quarantine=bad).awaitTermination()
+    assert [r.id for r in read_years(spark, root).collect()] == ["a"] and "corrupt" not in read_years(spark, root).columns
+    assert spark.read.parquet(f"{bad}-corrupt").count() >= 1
+    with pytest.raises(Exception, match="no quarantine"):
+        upsert_stream(stream_oai(spark, path), root, folder("s2"), rule=2024).awaitTermination()
+
+
 def test_redelivered_records_are_dropped(spark, folder):
     landed, output = folder("landed"), folder("out")
     rows = [("a", "2024-01-01"), ("b", "2024-01-01"), ("a", "2024-01-01"), ("a", "2024-01-02")]
