@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.exact_dedup import names_every_row, numbered_rows
+
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.08
 #: Characters of items in one block: what is sent to the tasks at once.
@@ -154,6 +156,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; rows without ``doc_id`` are judged together."""
-    leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, each judged by its own text."""
+    if names_every_row(docs):
+        leaks = find_leaks(docs, benchmark).select("doc_id").distinct()
+        return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    rows = numbered_rows(docs)
+    leaks = find_leaks(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(leaks, "_row", "left_anti").select(docs.columns)

@@ -113,14 +113,19 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     ``digest`` is the state's key, SHA-256 by default. A weaker one gives the same rows,
     since hits are compared in full.
     """
-    spark = docs.sparkSession
-    key = sha256_text(F.col("text")) if digest is None else digest.cast("string")
     source = docs.select("doc_id", "text")
+    source = source.withColumn("_row", F.lit(0)) if names_every_row(source) else numbered_rows(source)
+    return _groups(source, digest).drop("locator")
+
+
+def _groups(source: DataFrame, digest: Column | None = None) -> DataFrame:
+    """``exact_groups`` of ``doc_id, text, _row``, each row with its ``locator``."""
+    spark = source.sparkSession
+    key = sha256_text(F.col("text")) if digest is None else digest.cast("string")
     # The locator orders as doc_id does and is its own row's: repeated rows get different ones.
-    source = source.withColumn("_copy", F.lit(0)) if names_every_row(source) else _numbered(source)
     source = source.select(
         "doc_id", "text",
-        F.struct(F.col("doc_id").alias("doc_id"), F.col("_copy").alias("copy")).alias("locator"),
+        F.struct(F.col("doc_id").alias("doc_id"), F.col("_row").alias("copy")).alias("locator"),
     )
     rows = cut_lineage(
         source.select(
@@ -132,7 +137,7 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     landed = rows.inputFiles()[0].rsplit("/", 1)[0] if not rows.isEmpty() else None
     if landed is None:
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
-                           F.lit(True).alias("kept"), "text_sha256")
+                           F.lit(True).alias("kept"), "text_sha256", "locator")
     checkpoint, output = shared_dir(spark, "exact-state"), shared_dir(spark, "exact-groups")
     digest_state(landed, spark, rows.schema, checkpoint, output)
     drop_scratch(spark, checkpoint)
@@ -141,14 +146,14 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     differing = cut_lineage(_checked(source, narrow, state), "differing")
     result = rows.join(state.withColumnRenamed("locator", "kept_locator"), ["digest", "n_bytes"])
     same = result.select(
-        "doc_id", "keep_id", "group_size", (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256"
+        "doc_id", "keep_id", "group_size", (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256", "locator"
     )
     if differing.isEmpty():
         return same
     # A digest with more than one text: its rows are grouped by the text itself.
     clashing = differing.select("digest", "n_bytes").distinct()
     good = result.join(clashing, ["digest", "n_bytes"], "left_anti").select(
-        "doc_id", "keep_id", "group_size", (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256"
+        "doc_id", "keep_id", "group_size", (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256", "locator"
     )
     texts = (
         rows.join(clashing, ["digest", "n_bytes"], "left_semi").select("doc_id", "locator", "text_sha256")
@@ -157,7 +162,7 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     groups = texts.groupBy("text").agg(F.count(F.lit(1)).alias("group_size"), F.max("locator").alias("kept_locator"))
     split = texts.join(groups, "text").select(
         "doc_id", F.col("kept_locator.doc_id").alias("keep_id"), "group_size",
-        (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256",
+        (F.col("locator") == F.col("kept_locator")).alias("kept"), "text_sha256", "locator",
     )
     return good.unionByName(split)
 
@@ -170,16 +175,19 @@ def names_every_row(source: DataFrame) -> bool:
     return source.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
 
-def _numbered(source: DataFrame) -> DataFrame:
-    """Rows with a number that tells repeated ids apart, fixed by writing them once."""
-    numbered = source.withColumn("_copy", F.monotonically_increasing_id())
-    return cut_lineage(numbered.withColumn("doc_id", F.col("doc_id")), "numbered")
+def numbered_rows(source: DataFrame) -> DataFrame:
+    """Rows with a number ``_row`` that tells repeated and missing ids apart, fixed by writing them once."""
+    return cut_lineage(source.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of equal texts the largest ``doc_id``.
+    """One row of each text with all its columns: that with the largest ``doc_id``, one of repeated rows.
 
-    Rows without ``doc_id`` stay if their text has no row with one.
+    A row without ``doc_id`` stays if its text has no row with one, and is then the only one.
     """
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    if names_every_row(docs):
+        kept = _groups(docs.select("doc_id", "text", F.lit(0).alias("_row"))).filter("kept").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    rows = numbered_rows(docs)
+    kept = _groups(rows.select("doc_id", "text", "_row")).filter("kept").select(F.col("locator.copy").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.arrays import chunks, mix, shingles, text_bytes, word_hashes
 from paperloom.llm.components import components
+from paperloom.llm.exact_dedup import names_every_row, numbered_rows
 from paperloom.session import cut_lineage
 
 #: A shingle in more documents than this is frequent.
@@ -265,9 +266,24 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Two documents link when ``100 * |intersection| >= percent * |union|`` of their
     shingle sets; ``component_id`` is the smallest id reachable by links. Null or empty
     texts have no shingle and link with nothing. Rows without ``doc_id`` come back with
-    null ids and link with nothing. Repeated rows and equal sets are one component. An
-    empty table gives no rows. Other columns are ignored. ``percent`` is 50 to 100.
+    null ids and link with nothing. Repeated rows and equal sets are one component; two
+    texts under one id are two documents. An empty table gives no rows. Other columns
+    are ignored. ``percent`` is 50 to 100.
     """
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if names_every_row(source.filter("doc_id is not null")):
+        return _labelled(source, percent)
+    rows = numbered_rows(source)
+    found = cut_lineage(_labelled(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("doc_id"), "text"), percent), "labels")
+    named = found.withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row")
+    least = named.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return named.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id")).unionByName(
+        found.filter("doc_id is null")
+    )
+
+
+def _labelled(docs: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` of rows whose ``doc_id`` is a number of their own or null."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -279,7 +295,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     able = gathered.filter("set_key is not null")
     named = able.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     sets = cut_lineage(
-        able.select("doc_id", "n_shingles", "n_shared", "n_frequent", "keys", "tokens").join(named, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"]), "able"
+        able.select("doc_id", "n_shingles", "n_shared", "n_frequent", "keys", "tokens").join(named, F.col("doc_id") == F.col("rep")), "able"
     )
     one = F.struct("own", "rep", "n", "s", "f").alias("one")
     postings = sets.select(
@@ -313,6 +329,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is their component's smallest; rows without ``doc_id`` stay."""
-    others = near_duplicates(docs, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("_copy"), "left_anti")
+    """One row of each component of ``docs``: that with the smallest ``doc_id``, one of repeated rows.
+
+    Rows are judged one by one: rows without ``doc_id`` link as others do and lose against them.
+    """
+    if names_every_row(docs):
+        others = _labelled(docs, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
+        return docs.join(others, F.col("doc_id") == F.col("_copy"), "left_anti")
+    rows = numbered_rows(docs)
+    found = _labelled(rows.select(F.col("_row").alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row")
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
