@@ -23,7 +23,11 @@ BLOCK_TAGS = frozenset(
     "thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED_TAGS = frozenset("script style template noscript iframe object svg math textarea select button title canvas audio video".split())
+#: Up to the end tag their content is text, whatever stands in it.
+RAW_TAGS = frozenset("script style textarea title iframe".split())
+#: Elements that show no text of the page; they end with their end tag or their parent.
+DROPPED_TAGS = frozenset("template noscript object svg select button canvas audio video".split())
+_NESTED = frozenset("template object svg".split())  # may stand inside their own kind
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILERPLATE_NAMES = frozenset(
@@ -57,7 +61,23 @@ def blocks(page: str) -> list[_Block]:
     out: list[_Block] = []
     stack: list[tuple[str, frozenset, int]] = []
     parts: list[tuple[str, bool]] = []
-    at, number, links = 0, 0, 0
+    at, number, links, hidden = 0, 0, 0, 0
+    last_end: dict[str, int] = {}
+
+    def pop() -> str:
+        nonlocal links, hidden
+        tag = stack.pop()[0]
+        links = max(0, links - (tag == "a"))
+        hidden -= tag in DROPPED_TAGS
+        return tag
+
+    def open_ended(tag: str) -> bool:
+        """Whether no end tag of an open dropped element is ahead: a block then ends it."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(rf"</{tag}\b", page, re.I)), default=-1)
+        if last_end[tag] < at or tag in _NESTED:
+            return last_end[tag] < at
+        return re.compile(rf"<(/?){tag}\b", re.I).search(page, at)[1] == ""
 
     def flush() -> None:
         if parts:
@@ -69,7 +89,7 @@ def blocks(page: str) -> list[_Block]:
     while True:
         found = _TOKEN.search(page, at)
         plain = page[at : found.start()] if found else page[at:]
-        if plain:
+        if plain and not hidden:
             parts.append((plain, links > 0))
         if not found:
             break
@@ -77,32 +97,40 @@ def blocks(page: str) -> list[_Block]:
         if not found[2]:
             continue
         closing, tag = found[1], found[2].lower()
-        if tag in DROPPED_TAGS and not closing:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+        if tag in RAW_TAGS and not closing:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag == "br":
-            parts.append((" ", False))
+            if not hidden:
+                parts.append((" ", False))
             continue
-        if tag in BLOCK_TAGS:
+        if found[3].endswith("/") and (hidden or tag in DROPPED_TAGS or any(t[0] == "math" for t in stack)):
+            continue
+        if tag in BLOCK_TAGS and tag != "option" and not closing:
+            while hidden and open_ended(inner := next(t[0] for t in reversed(stack) if t[0] in DROPPED_TAGS)):
+                while pop() != inner:
+                    pass
+        if closing and hidden:  # the end of a parent ends what is dropped
+            first = next(k for k, t in enumerate(stack) if t[0] in DROPPED_TAGS)
+            if any(t[0] == tag for t in stack[:first]) and not any(t[0] == tag for t in stack[first:]):
+                while hidden:
+                    pop()
+        if tag in BLOCK_TAGS and not hidden:
             flush()
         if closing:
-            if any(s[0] == tag for s in stack):
-                while True:
-                    top = stack.pop()
-                    if top[0] == tag:
-                        break
-                    links -= top[0] == "a"
-            links = max(0, links - (tag == "a"))
+            if any(t[0] == tag for t in stack):
+                while pop() != tag:
+                    pass
         elif tag not in VOID_TAGS:
-            if tag in BLOCK_TAGS and any(s[0] == "p" for s in stack):  # a block closes an open paragraph
-                while stack.pop()[0] != "p":
+            if tag in BLOCK_TAGS and not hidden and any(t[0] == "p" for t in stack):  # a block closes an open paragraph
+                while pop() != "p":
                     pass
-                links = sum(s[0] == "a" for s in stack)
             number += 1
             names = [w for m in _NAMES.finditer(found[3]) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w]
             stack.append((tag, frozenset(names), number))
             links += tag == "a"
+            hidden += tag in DROPPED_TAGS
     flush()
     return out
 
