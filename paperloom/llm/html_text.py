@@ -42,16 +42,29 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _UNIT = 100  # capacities are whole numbers
+#: Containers of the page or its article: their names tell of the layout, not of a block.
+_WHOLE_TAGS = frozenset("html body main article".split())
+_NEAREST = 2  # containers with names that speak against a block
+
+
+def _against(names: frozenset) -> float:
+    """How much a container's names speak for boilerplate: a whole name more than a part, none next to a name of content."""
+    parts = {part for name in names for part in _SPLIT.split(name)}
+    if parts & CONTENT_NAMES:
+        return 0.0
+    return 3.5 if names & BOILERPLATE_NAMES else 0.3 if parts & BOILERPLATE_NAMES else 0.0
 
 
 class _Block:
-    __slots__ = ("text", "linked", "path", "names", "parent", "tag")
+    __slots__ = ("text", "linked", "path", "names", "against", "parent", "tag")
 
     def __init__(self, text: str, linked: int, stack: list[tuple[str, frozenset, int]]):
         self.text, self.linked = text, linked
         self.path = {s[0] for s in stack}
-        self.names = frozenset().union(*(s[1] for s in stack)) if stack else frozenset()
+        self.names = frozenset(part for s in stack for name in s[1] for part in _SPLIT.split(name))
         kept = [s for s in stack if s[0] in BLOCK_TAGS]
+        named = [s[1] for s in kept if s[1] and s[0] not in _WHOLE_TAGS]
+        self.against = max((_against(names) for names in named[-_NEAREST:]), default=0.0)
         self.tag = kept[-1][0] if kept else ""
         self.parent = kept[-2][2] if len(kept) > 1 else 0
 
@@ -127,7 +140,7 @@ def blocks(page: str) -> list[_Block]:
                 while pop() != "p":
                     pass
             number += 1
-            names = [w for m in _NAMES.finditer(found[3]) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()) if w]
+            names = [w for m in _NAMES.finditer(found[3]) for w in (m[1] or m[2] or m[3] or "").lower().split()]
             stack.append((tag, frozenset(names), number))
             links += tag == "a"
             hidden += tag in DROPPED_TAGS
@@ -142,7 +155,7 @@ def content_score(block: _Block) -> int:
     score = 2.0 if inside else -0.5
     score -= 8.0 * bool(block.path & BOILERPLATE_TAGS)
     score -= 8.0 * bool("header" in block.path and not inside)
-    score -= 8.0 * bool(block.names & BOILERPLATE_NAMES)
+    score -= block.against
     score += 1.0 * bool(block.names & CONTENT_NAMES)
     score += {"p": 0.5, "li": -0.2, "blockquote": 0.5, "pre": 0.5, "td": -0.2}.get(block.tag, 0.5 if block.tag[:1] == "h" and inside else 0.0)
     score -= 3.0 * min(1.0, block.linked / max(len(block.text), 1))
