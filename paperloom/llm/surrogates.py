@@ -4,7 +4,8 @@ Entities are found by one pattern. Each distinct value gets a surrogate from a k
 digest: digits for digits, letters for letters in the same case and script, a name of
 the same gender and script for a name. Values are compared without format, so every
 mention of one value gets the same surrogate in the mention's own format. Two values
-never share a surrogate, and none equals a real value: clashing ones are drawn again.
+never share a surrogate, and none equals a real value: clashing ones are drawn again,
+names with one more syllable at each draw, so that the space of names has no end.
 Only texts that hold an entity are shuffled.
 """
 
@@ -38,7 +39,10 @@ NAMES = {
 PATTERN = "|".join(KINDS.values())
 # No entity without one of these; looking for them is much cheaper than the pattern.
 _HINTS = ("@", "AKIA", "token = ", "password=", "Mr", "Ms", "Sr. ", "Herr ", "Monsieur ", "Señor", "Frau ", "Madame ")
-_DRAWS = 24
+#: Formats with few values get one more letter at each draw from this one on.
+_WIDER = 24
+#: Numbers keep their format and never get longer; if so many draws do not part them, their format has no room.
+_DRAWS = 1000
 
 
 def _kind(mention: Column) -> Column:
@@ -76,9 +80,9 @@ def _byte(digest: Column, k: Column) -> Column:
     return F.conv(F.substring(digest, F.pmod(k, F.lit(64)).cast("int") * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _drawn(kind: Column, value: Column, key: str, draw: Column) -> Column:
+def _drawn(kind: Column, value: Column, key: str, draw: int) -> Column:
     """The surrogate of a value; its letters and digits stand where the value's do."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, value, draw.cast("string")), 512)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, value, F.lit(str(draw))), 512)
     domain = F.when(kind == "email", F.length(value) - F.length(F.substring_index(value, ".", -1))).otherwise(F.length(value))
     fixed = F.when(kind == "access_key", 4).when(kind == "phone", 1).when(kind == "card", 1).otherwise(0)
 
@@ -94,6 +98,9 @@ def _drawn(kind: Column, value: Column, key: str, draw: Column) -> Column:
         )
 
     letters = F.array_join(F.transform(F.filter(F.split(value, ""), lambda c: c != ""), letter), "")
+    if draw >= _WIDER:  # letters before, which every one of these formats takes
+        more = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(draw - _WIDER + 1)), lambda k: F.char(F.pmod(_byte(digest, -k), F.lit(26)) + 97)), "")
+        letters = F.when(kind.isin("email", "secret"), F.concat(more, letters)).otherwise(letters)
     octets = F.concat_ws(".", *(F.pmod(_byte(digest, F.lit(k)), F.lit(223)) + 1 for k in range(4)))
 
     def name(gender: str) -> Column:
@@ -102,7 +109,7 @@ def _drawn(kind: Column, value: Column, key: str, draw: Column) -> Column:
         def pick(script: str) -> Column:
             names = F.array(*(F.lit(n) for n in NAMES[gender, script]))
             own = F.get(names, F.pmod(_byte(digest, F.lit(0)), F.lit(16)))
-            tail = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.get(F.array(*(F.lit(s) for s in (
+            tail = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(3 + draw)), lambda k: F.get(F.array(*(F.lit(s) for s in (
                 ("ber", "den", "hol", "kes", "lan", "mar", "ros", "tin") if script == "latin" else ("бер", "ден", "гол", "кес", "лан", "мар", "рос", "тин")
             ))), F.pmod(_byte(digest, k), F.lit(8)))), "")
             return F.when(value.contains(" "), F.concat(own, F.lit(" "), F.initcap(tail))).otherwise(F.initcap(tail))
@@ -120,7 +127,8 @@ def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
         lambda c, k: F.when(c.rlike(r"\d"), F.substring(surrogate, F.length(F.regexp_replace(F.substring(mention, F.lit(1), k + 1), r"\D", "")), F.lit(1))).otherwise(c),
     )
     cased = F.transform(places, lambda c, k: F.when(c.rlike("[A-Z]"), F.upper(F.substring(surrogate, k + 1, F.lit(1)))).otherwise(F.substring(surrogate, k + 1, F.lit(1))))
-    return F.when(kind.isin("phone", "card", "ssn"), F.array_join(digits, "")).when(kind == "email", F.array_join(cased, "")).otherwise(surrogate)
+    longer = F.substring(surrogate, F.length(mention) + 1, F.length(surrogate))
+    return F.when(kind.isin("phone", "card", "ssn"), F.array_join(digits, "")).when(kind == "email", F.concat(F.array_join(cased, ""), longer)).otherwise(surrogate)
 
 
 def _surrogates(values: DataFrame, key: str) -> DataFrame:
@@ -128,7 +136,7 @@ def _surrogates(values: DataFrame, key: str) -> DataFrame:
     real = values.select("kind", F.col("value").alias("surrogate"))
     open_values, done, draw = values.withColumn("draw", F.lit(0)), None, 0
     while True:
-        drawn = open_values.withColumn("surrogate", _drawn(F.col("kind"), F.col("value"), key, F.lit(draw)))
+        drawn = open_values.withColumn("surrogate", _drawn(F.col("kind"), F.col("value"), key, draw))
         first = drawn.groupBy("kind", "surrogate").agg(F.min("value").alias("first"))
         first = first.join(real, ["kind", "surrogate"], "left_anti")
         if done is not None:
@@ -140,9 +148,7 @@ def _surrogates(values: DataFrame, key: str) -> DataFrame:
         if open_values.isEmpty():
             return done
         if draw == _DRAWS:
-            # Values too short to keep apart in their own format get a number appended.
-            rest = open_values.select("kind", "value", F.concat(F.lit("x"), F.sha2(F.concat_ws("|", F.lit(key), "kind", "value"), 256)).alias("surrogate"))
-            return cut_lineage(done.unionByName(rest), "surrogates")
+            raise ValueError(f"{open_values.count()} values have no surrogate left in their format")
 
 
 def _hinted(text: Column) -> Column:
