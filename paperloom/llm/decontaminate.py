@@ -3,13 +3,15 @@
 An item with an error budget of ``e`` edits is split into ``e + 1`` pieces: whatever the
 edits, one piece stays whole. An automaton finds all pieces in one pass over each text,
 and around each hit Myers' bit-parallel algorithm computes the least edit distance
-between the item and any part of the text. Items go to the tasks in blocks of bounded
+between the item and any part of the text. Items of few characters, which would be met by
+chance inside words, are looked for as they are and between word boundaries. Items go to the tasks in blocks of bounded
 size; a larger benchmark means more blocks, each against all documents.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,8 +25,8 @@ from paperloom.llm.exact_dedup import names_every_row, numbered_rows
 ERROR_RATE = 0.08
 #: Characters of items in one block: what is sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
-#: An item must have so many words; shorter ones would match by chance.
-MIN_WORDS = 5
+#: An item of fewer characters matches without edits only, and as whole words.
+SHORT_CHARS = 20
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -33,6 +35,20 @@ def normalised(text: str | None) -> str:
     return _SPACE.sub(" ", text or "").strip(" ").lower()
 
 
+# Scripts written without spaces (Thai to Myanmar, Khmer, kana and Han).
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def _joined(left: str, right: str) -> bool:
+    """Whether two neighbouring characters are inside one word; scripts without spaces have no such words."""
+    return all((c.isalnum() or c == "_" or unicodedata.combining(c)) and not _UNSPACED.match(c) for c in (left, right))
+
+
+def stands_alone(text: str, begin: int, end: int) -> bool:
+    """Whether ``text[begin:end]`` begins and ends at word boundaries."""
+    return not (begin > 0 and _joined(text[begin - 1], text[begin])) and not (end < len(text) and _joined(text[end - 1], text[end]))
+
+
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     """``errors + 1`` parts of nearly equal length, each with its place in the item."""
     n, k = len(item), errors + 1
@@ -66,6 +82,10 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items, places = [], {}
         for item_id, text in items:
+            if len(text) < SHORT_CHARS:
+                places.setdefault(text, []).append((len(self.items), 0))
+                self.items.append((item_id, text, 0, None))
+                continue
             errors = int(len(text) * rate)
             masks: dict[str, int] = {}
             for k, letter in enumerate(text):
@@ -84,10 +104,16 @@ class Matcher:
         if not self.items or not text:
             return
         windows: dict[int, list[tuple[int, int]]] = {}
+        alone: set[int] = set()
         for end, (size, where) in self.automaton.iter(text):
             for number, at in where:
                 item = self.items[number]
                 begin = end + 1 - size - at
+                if item[3] is None:
+                    if number not in alone and stands_alone(text, begin, end + 1):
+                        alone.add(number)
+                        yield item[0], 0
+                    continue
                 found = windows.setdefault(number, [])
                 span = (max(0, begin - item[2]), begin + len(item[1]) + item[2])
                 if found and span[0] <= found[-1][1]:
@@ -109,7 +135,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     items = benchmark.select("item_id", "text").filter("text is not null").distinct().orderBy("item_id", "text")
     for row in items.toLocalIterator():
         text = normalised(row["text"])
-        if len(text.split(" ")) < MIN_WORDS:
+        if not text:
             continue
         block.append((row["item_id"], text))
         size += len(text)
@@ -124,8 +150,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
     """``doc_id, item_id, distance`` for each document that holds an item with at most ``rate`` edits a character.
 
     Both sides are compared in lower case with single spaces. ``distance`` is the least
-    over the whole text. Null or empty texts and items, and items under ``MIN_WORDS``
-    words, match nothing. Repeated rows repeat in the result; equal items under
+    over the whole text. Items under ``SHORT_CHARS`` characters match without edits and
+    as whole words. Null or empty texts and items match nothing. Repeated rows repeat in the result; equal items under
     different ids each match. Without documents or items there are no rows.
     """
     source = docs.select("doc_id", "text").filter("text is not null")
