@@ -65,14 +65,14 @@ def _runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _pieces(data: np.ndarray, starts: np.ndarray):
     """Stretches of at most ``_PIECE`` bytes: text number of each window, and where the stretch begins.
 
-    Long texts are cut into stretches that overlap by a window.
+    Long texts are cut into stretches that overlap by less than a window, so each window lies in one.
     """
     for a, b in chunks(starts, _PIECE):
         low, high = int(starts[a]), int(starts[b])
         if b - a > 1 or high - low <= _PIECE:
             yield a, b, low, high
         else:
-            for x in range(low, high, _PIECE - LENGTH):
+            for x in range(low, high, _PIECE - LENGTH + 1):
                 yield a, b, x, min(x + _PIECE, high)
                 if x + _PIECE >= high:
                     break
