@@ -14,9 +14,11 @@ from paperloom.llm.html_text import extract_text
 from paperloom.llm.language_id import identify
 from paperloom.llm.mixing import mix_sources
 from paperloom.llm.near_dedup import near_duplicates
+from paperloom.llm.prefix_forest import nearest
 from paperloom.llm.repeats import repeated_spans
 from paperloom.llm.suffix_tree_lm import score_texts
 from paperloom.llm.surrogates import replace_entities
+from paperloom.llm.token_alignment import align_tokens
 from paperloom.llm.token_counts import token_counts
 
 
@@ -68,12 +70,20 @@ def op11_filter_audit(spark, sf_dir):
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_nearest(spark, sf_dir):
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op13_token_alignment(spark, sf_dir):
+    return align_tokens(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_suffix_dedup, op4_exact_dedup, op5_ngram_jaccard,
         op6_lm_score, op7_surrogates, op8_language_id, op9_token_counts, op10_main_text,
-        op11_filter_audit,
+        op11_filter_audit, op12_nearest, op13_token_alignment,
     )
 }
 
