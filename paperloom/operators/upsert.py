@@ -74,12 +74,25 @@ def matched(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order:
     shared = [c for c in increment.columns if c in stored.columns and c not in keys]
     old = stored.select(*keys, *[F.col(f"`{c}`").alias(f"__old_{c}") for c in shared])
     same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__old_{c}`")) for c in shared], F.lit(True))
-    new_value, old_value = F.col(f"`{order}`"), F.col(f"`__old_{order}`")
+    new_value = F.col(f"`{order}`")
+    old_value = F.col(f"`__old_{order}`") if order in shared else F.lit(None).cast(increment.schema[order].dataType)
     least = old_value.isNull() if nulls == "last" else new_value.isNull()
     later = least | F.coalesce(new_value >= old_value, F.lit(False))
     return increment.join(old, list(keys)).select(*[F.col(f"`{c}`") for c in increment.columns], (~same & later).alias("__wins"))
 
 
+def changed_rows(stored: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a keyed batch that are new, or differ from the stored row in a column both sides have.
+
+    A row that only repeats the stored one is left out, so that what is stored beside it,
+    such as vectors the batch does not carry, stays.
+    """
+    shared = [c for c in newest.columns if c in stored.columns and c not in keys]
+    old = stored.select(*keys, *[F.col(f"`{c}`").alias(f"__old_{c}") for c in shared], F.lit(True).alias("__stored"))
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__old_{c}`")) for c in shared], F.col("__stored").isNotNull())
+    return newest.join(old, list(keys), "left").filter(~same).select(*[F.col(f"`{c}`") for c in newest.columns])
+
+
 def replaced_keys(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("id", "year")) -> DataFrame:
     """Keys of rows the merge replaced by other content."""
     compared = [c for c in before.columns if c in after.columns and c not in keys]

@@ -18,11 +18,10 @@ from paperloom.operators.status import (
     tasks_of_papers,
     unconfigured,
 )
-from paperloom.operators.years import touched_years
 from paperloom.schema import ModelSpec
 from paperloom.session import cut_lineage, shared_dir
-from paperloom.sinks.tables import replace_years, write_artifacts, write_tasks
-from paperloom.sources.tables import next_seq, read_vectors, read_years
+from paperloom.sinks.tables import replace_touched, write_artifacts, write_tasks
+from paperloom.sources.tables import next_seq, read_touched, read_vectors, table_state, touched
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -173,10 +172,13 @@ def merge_artifacts(
 ) -> int:
     """Overlay long artifacts onto the wide yearly table. Returns the rows rewritten.
 
-    A newest row without vector, as forgotten papers have, clears the column. Only years that have artifacts are read and replaced.
+    A newest row without vector, as forgotten papers have, clears the column. Only years
+    that have artifacts are read and replaced, of a versioned table only their parts.
     """
-    years = touched_years(artifacts)
-    if not years:
+    state = table_state(spark, root)
+    parts = touched(artifacts, state)
+    if not parts:
         return 0
-    papers = read_years(spark, root, years)
-    return replace_years(overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan, skip_null=False), root)
+    papers = read_touched(spark, root, parts, state)
+    merged = overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan, skip_null=False)
+    return replace_touched(merged, root, parts, state)

@@ -10,15 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_of, year_request
 from paperloom.functions.text import in_categories
 from paperloom.operators.align import united
-from paperloom.operators.dedup import first_by, latest
-from paperloom.operators.upsert import merge_latest
+from paperloom.operators.dedup import first_by, latest, without_keys
+from paperloom.operators.upsert import matched
 from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
 from paperloom.session import cut_lineage
-from paperloom.sinks.tables import replace_years, write_snapshot
+from paperloom.sinks.tables import replace_touched, replace_years, write_snapshot
 from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
 from paperloom.sources.rss import normalize_rss, read_rss
-from paperloom.sources.tables import is_table, read_years
+from paperloom.sources.tables import is_table, read_touched, table_state, touched
 
 
 def landed_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -93,12 +93,29 @@ def harvest_years(
     papers = parse_pages(records, window, categories, only)
     papers = papers.filter(F.col("year").isin(list(years)))
     if mode == "merge" and is_table(spark, root):
-        # Every stored column stays, model columns too; rows that the harvest does not touch pass unchanged.
-        before, after = united(read_years(spark, root, years), papers)
-        papers = merge_latest(before, after, ("id", "year"))
+        return _merge_harvest(spark, cut_lineage(papers, "harvested"), root)
     return replace_years(papers, root)
 
 
+def _merge_harvest(spark: SparkSession, papers: DataFrame, root: str) -> int:
+    """Put harvested papers that are new or later than the stored ones into the table. Returns rows written.
+
+    Every stored column stays, model columns too; a paper that is harvested as it is stored
+    keeps its row, and with it its vectors. Without a change nothing is written.
+    """
+    keys, state = ("id", "year"), table_state(spark, root)
+    parts = touched(papers, state)
+    if not parts:
+        return 0
+    stored = read_touched(spark, root, parts, state)
+    met = cut_lineage(matched(stored, papers, keys, "updated"), "matched")
+    winners = met.filter("__wins").drop("__wins").unionByName(without_keys(papers, met, keys))
+    if winners.isEmpty():
+        return 0
+    old, new = united(without_keys(stored, winners, keys), winners)
+    return replace_touched(old.unionByName(new), root, parts, state)
+
+
 def harvest_window(
     spark: SparkSession,
     path: str | list[str],

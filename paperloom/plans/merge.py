@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.operators.align import united
 from paperloom.operators.dedup import keep_last, latest, without_keys
-from paperloom.operators.upsert import matched, replaced_keys
-from paperloom.operators.years import split_valid, touched_years, with_year
+from paperloom.operators.upsert import changed_rows, matched, replaced_keys
+from paperloom.operators.years import split_valid, with_year
 from paperloom.schema import PAPER_COLUMNS, ModelSpec
 from paperloom.session import cut_lineage
-from paperloom.sinks.tables import replace_years, write_artifacts
-from paperloom.sources.tables import is_table, next_seq, read_years
+from paperloom.sinks.tables import replace_touched, replace_years, write_artifacts
+from paperloom.sources.tables import has_year, is_table, next_seq, read_touched, read_years, table_state, touched
 
 KEYS = ("id", "year")
 
@@ -32,23 +32,24 @@ def upserted(
 
     Both sides carry ``year`` and are brought to one schema that keeps every column of
     either side. ``arrival`` orders the batch; those of its columns that the table does
-    not have are dropped.
+    not have are dropped. A batch row that only repeats the stored one changes nothing,
+    so columns the batch lacks, such as vectors, stay.
     """
     newest = keep_last(batch, KEYS, arrival)
     if not existing_keyed:
         existing = keep_last(existing, KEYS, ())
-    return _put(newest, without_keys(existing, batch, KEYS), arrival, models, fill)
+    changed = changed_rows(existing, _stored_columns(newest, existing, arrival), KEYS)
+    return _put(changed, existing, models, fill)
 
 
-def _put(
-    newest: DataFrame,
-    kept: DataFrame,
-    arrival: Sequence[str],
-    models: Mapping[str, ModelSpec] | None,
-    fill: str,
-) -> DataFrame:
-    """Kept rows and batch rows in one schema, without arrival columns that are not stored."""
-    old, new = united(kept, newest.drop(*[c for c in arrival if c not in kept.columns]), models, fill)
+def _stored_columns(newest: DataFrame, stored: DataFrame, arrival: Sequence[str]) -> DataFrame:
+    """A batch without arrival columns that are not stored."""
+    return newest.drop(*[c for c in arrival if c not in stored.columns])
+
+
+def _put(changed: DataFrame, stored: DataFrame, models: Mapping[str, ModelSpec] | None, fill: str) -> DataFrame:
+    """Stored rows with the changed rows in place of theirs, in one schema."""
+    old, new = united(without_keys(stored, changed, KEYS), changed, models, fill)
     return old.unionByName(new)
 
 
@@ -75,29 +76,33 @@ def upsert_years(
 ) -> UpsertResult:
     """Assign years to a batch and upsert them into the table at ``root``.
 
-    Only the years in the batch are read and rewritten. Rows without a year are counted,
-    and written to ``quarantine`` if given. With ``vectors_root``, papers whose content
+    Only the years in the batch are read and rewritten, of a versioned table only the parts
+    its ids fall in. A row that only repeats the stored one changes nothing: what the batch
+    does not carry, such as vectors, stays. Rows without a year are counted, and written to
+    ``quarantine`` if given. With ``vectors_root``, papers whose content
     the batch changes lose their vectors of ``models`` there; ``seq`` is this run's place
     in the vector history, by default the next free one.
     """
     valid, invalid = split_valid(with_year(batch, rule, formats))
     newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
     rows_invalid = _set_aside(invalid, quarantine, quarantine_mode) if quarantine else invalid.count()
-    years = sorted(touched_years(newest))
+    state = table_state(spark, root)
+    parts = touched(newest, state)
+    years = sorted(parts)
     if not years:
         return UpsertResult([], 0, rows_invalid)
     if is_table(spark, root):
-        stored = read_years(spark, root, years)
+        stored = read_touched(spark, root, parts, state)
         if vectors_root and models:
             metadata = stored.select(*[c for c in stored.columns if c not in models])
             changed = replaced_keys(metadata, newest.drop(*models), KEYS)
             forget_vectors(changed, list(models), vectors_root, next_seq(spark, vectors_root) if seq is None else seq)
-        kept = without_keys(stored, newest, KEYS)
-        merged = _put(newest, kept, arrival, models, fill)
+        changed = cut_lineage(changed_rows(stored, _stored_columns(newest, stored, arrival), KEYS), "changed")
+        merged = _put(changed, stored, models, fill)
     else:
         # Columns that only tell arrivals apart are not stored; a paper's own are, whatever else they serve for.
         merged = newest.drop(*[c for c in arrival if c not in PAPER_COLUMNS])
-    return UpsertResult(years, replace_years(merged, root), rows_invalid)
+    return UpsertResult(years, replace_touched(merged, root, parts, state), rows_invalid)
 
 
 def _set_aside(invalid: DataFrame, quarantine: str, mode: str) -> int:
@@ -134,26 +139,29 @@ def merge_increment(
     so that they are embedded again; ``seq`` is this run's place in the vector history,
     by default the next free one.
 
-    The increment is cut to one row per id first. The stored year is read once to compare
-    metadata and once to be written.
+    The increment is cut to one row per id first. The stored year, or the parts of a
+    versioned table that its ids fall in, is read once to compare metadata and once to be
+    written.
     """
     newest = latest(with_year(increment, year), KEYS, nulls=nulls)
-    if not is_table(spark, f"{root}/year={year}"):
+    if not has_year(spark, root, year):
         rows = replace_years(newest, root)
         return MergeResult(rows, rows, 0, 0, rows)
     newest = cut_lineage(newest, "increment")
-    stored = read_years(spark, root, [year])
+    state = table_state(spark, root)
+    parts = touched(newest, state)
+    stored = read_touched(spark, root, parts, state)
     met = cut_lineage(matched(stored, newest, KEYS, "updated", nulls), "matched")
     replacing = met.filter("__wins").drop("__wins")
     added = without_keys(newest, met, KEYS)
     inserted, updated = added.count(), replacing.count()
-    result = MergeResult(0, inserted, updated, stored.count() - updated, inserted)
+    result = MergeResult(0, inserted, updated, read_years(spark, root, [year]).count() - updated, inserted)
     if not inserted and not updated:
         return result
     if vectors_root and models and updated:
         forget_vectors(replacing, list(models), vectors_root, next_seq(spark, vectors_root) if seq is None else seq)
     old, new = united(without_keys(stored, replacing, KEYS), replacing.unionByName(added))
-    return replace(result, rows_written=replace_years(old.unionByName(new), root))
+    return replace(result, rows_written=replace_touched(old.unionByName(new), root, parts, state))
 
 
 def forget_vectors(papers: DataFrame, model_keys: Sequence[str], root: str, seq: int) -> None:

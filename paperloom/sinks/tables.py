@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from paperloom.operators.status import failure_head, failure_top, task_summary
 from paperloom.schema import VECTOR_SCHEMA
 from paperloom.session import drop_scratch, shared_dir
-
+from paperloom.versions import Parts, Snapshot, is_versioned, replace_parts
 
 # Parts a year is hashed into before adaptive execution evens out their sizes.
 _YEAR_PARTS = 16
@@ -56,14 +56,24 @@ def write_snapshot(df: DataFrame, path: str, on_empty: str = "write") -> int:
     return seen.get["n"]
 
 
+def replace_touched(df: DataFrame, root: str, parts: Parts, state: Snapshot | None, staged: bool = True) -> int:
+    """Make ``df`` the content of ``parts``, which were read at ``state``. Returns rows written."""
+    if state is None:
+        return replace_years(df, root, staged)
+    return replace_parts(df, root, parts, state)
+
+
 def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
     """Replace the years present in ``df`` and leave all others alone. Returns rows written.
 
     The result is first written to a staging table and counted there; only a complete
     staging table replaces the years. So ``df`` may read the years it replaces, and a job
     that dies leaves either the old years or a full copy of the new ones. ``staged=False``
-    relies on the commit of Spark's own dynamic overwrite and saves the second write.
+    relies on the commit of Spark's own dynamic overwrite and saves the second write. A
+    versioned table needs neither: rows are written once and its commit switches the years.
     """
+    if is_versioned(df.sparkSession, root):
+        return replace_parts(df, root)
     staging = None
     if staged:
         staging = shared_dir(df.sparkSession, "staging")

@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.text import _col
+from paperloom.operators.years import touched_years
 from paperloom.schema import TASK_SCHEMA, VECTOR_SCHEMA, yearly_schema
+from paperloom.versions import Parts, Snapshot, is_versioned, read_table, snapshot, touched_parts
 
 # How artifact and task files are named.
 ARTIFACT_NAME = r"embedded-([0-9]+)\.parquet-(.+?)\.parquet"
@@ -32,8 +34,11 @@ def read_years(
 
     Years may differ in their model columns; the result has those of all files read, and
     nulls where a file lacks one. Naming ``model_keys`` fixes the schema instead, which
-    saves reading the file footers first.
+    saves reading the file footers first. A versioned table knows its schema.
     """
+    if is_versioned(spark, root):
+        schema = None if model_keys is None else yearly_schema(model_keys)
+        return read_table(spark, root, None if years is None else {y: None for y in years}, schema=schema)
     reader = spark.read.option("basePath", root).option("mergeSchema", "true")
     if model_keys is not None:
         reader = reader.schema(yearly_schema(model_keys))
@@ -45,6 +50,30 @@ def read_years(
     return reader.option("mergeSchema", "false").parquet(root).limit(0)
 
 
+def has_year(spark: SparkSession, root: str, year: int) -> bool:
+    """Whether the yearly table has rows of a year."""
+    if is_versioned(spark, root):
+        return year in snapshot(spark, root).years
+    return is_table(spark, f"{root}/year={year}")
+
+
+def table_state(spark: SparkSession, root: str) -> Snapshot | None:
+    """The commit a job on a versioned table starts from; None for a plain table."""
+    return snapshot(spark, root) if is_versioned(spark, root) else None
+
+
+def touched(batch: DataFrame, state: Snapshot | None) -> Parts:
+    """What a job has to read and replace for a batch: parts of a versioned table, or whole years of a plain one."""
+    return {y: None for y in touched_years(batch)} if state is None else touched_parts(batch, state.buckets)
+
+
+def read_touched(spark: SparkSession, root: str, parts: Parts, state: Snapshot | None) -> DataFrame:
+    """The stored rows of ``parts``."""
+    if state is None:
+        return read_years(spark, root, sorted(parts))
+    return read_table(spark, root, parts, state.number)
+
+
 def read_vectors(spark: SparkSession, root: str) -> DataFrame:
     """The long vector table at ``root``, without rows if nothing was written there yet."""
     if not is_table(spark, root):

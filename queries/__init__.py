@@ -43,4 +43,5 @@ def load_all() -> None:
         streams,
         tables_io,
         vectors,
+        versioned,
     )
