@@ -16,8 +16,8 @@ from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
 from paperloom.session import cut_lineage
 from paperloom.sinks.tables import replace_touched, replace_years, write_snapshot
-from paperloom.sources.oai import harvest_complete, normalize_oai, read_envelope, read_oai
-from paperloom.sources.rss import normalize_rss, read_rss
+from paperloom.sources.oai import harvest_complete, landed_pages, normalize_oai, page_envelope, read_pages
+from paperloom.sources.rss import landed_items, normalize_rss, read_feeds
 from paperloom.sources.tables import is_table, read_touched, table_state, touched
 
 
@@ -27,8 +27,26 @@ def landed_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Deleted and unidentified records are kept without id: they count towards the size a
     harvest announces.
     """
+    return _records(spark, path, _parsed(spark, path))
+
+
+def _parsed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    # Parsed once; the completeness check and the table both read the parsed pages.
+    return cut_lineage(read_pages(spark, path), "pages")
+
+
+def _records(spark: SparkSession, path: str | list[str], pages: DataFrame) -> DataFrame:
     stamp = F.col("header.datestamp").alias("datestamp")
-    return normalize_oai(read_oai(spark, path), stamp, "identifier", "page", "corrupt", only_valid=False)
+    return normalize_oai(landed_pages(spark, path, pages), stamp, "identifier", "page", "corrupt", only_valid=False)
+
+
+def checked_records(spark: SparkSession, path: str | list[str], check_complete: bool = True) -> DataFrame:
+    """Every landed record, after the harvest was found complete if that is to be checked."""
+    pages = _parsed(spark, path)
+    records = _records(spark, path, pages)
+    if check_complete:
+        require_complete(records, page_envelope(pages))
+    return records
 
 
 def parse_pages(
@@ -36,8 +54,9 @@ def parse_pages(
     window: tuple[dt.date, dt.date] | None = None,
     categories: Sequence[str] = (),
     year: int | None = None,
+    keys: Sequence[str] = ("id", "year"),
 ) -> DataFrame:
-    """Latest version per id and year of the valid landed records.
+    """Latest version per id and year, or other ``keys``, of the valid landed records.
 
     The pages are usually the answer to a request for a window and categories; both are
     applied again here. Requests select by the record's datestamp, and so do the window
@@ -50,7 +69,7 @@ def parse_pages(
     if window:
         papers = papers.filter(stamp.isNull() | within(stamp, window))
     dated = papers.withColumn("year", F.coalesce(year_of(stamp, BOTH_FORMATS), F.lit(year).cast("int")))
-    return latest(dated, ("id", "year")).select(*PAPER_COLUMNS, "year")
+    return latest(dated, keys).select(*PAPER_COLUMNS, "year")
 
 
 def require_complete(records: DataFrame, envelope: DataFrame) -> None:
@@ -83,11 +102,7 @@ def harvest_years(
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"mode must be replace or merge, not {mode}")
-    records = landed_records(spark, path)
-    if check_complete:
-        # Parsed once; the check and the table both read the parsed records.
-        records = cut_lineage(records, "landed")
-        require_complete(records, read_envelope(spark, path))
+    records = checked_records(spark, path, check_complete)
     window = (year_request(min(years), today)[0], year_request(max(years), today)[1])
     only = years[0] if len(years) == 1 else None
     papers = parse_pages(records, window, categories, only)
@@ -131,13 +146,9 @@ def harvest_window(
     Unless ``check_complete`` is off, the harvest must be complete and its pages well
     formed. An empty window still writes a table with the paper schema.
     """
-    records = landed_records(spark, path)
-    if check_complete:
-        records = cut_lineage(records, "landed")
-        require_complete(records, read_envelope(spark, path))
-    papers = parse_pages(records, request_window(until, days, start), categories)
-    newest = latest(papers).select(*PAPER_COLUMNS)
-    return write_snapshot(newest, output)
+    records = checked_records(spark, path, check_complete)
+    newest = parse_pages(records, request_window(until, days, start), categories, keys=("id",))
+    return write_snapshot(newest.select(*PAPER_COLUMNS), output)
 
 
 def parse_feeds(
@@ -147,17 +158,18 @@ def parse_feeds(
     updated_from_published: bool = True,
     feed: Column | None = None,
 ) -> DataFrame:
-    """First entry of every paper in the landed feeds, in the order of ``feed``.
+    """First entry of every paper in the landed feeds, in the order of ``feed`` and of the entries in it.
 
-    ``feed`` is the file's path unless given. An entry has no position once it is read in
-    parallel, so copies of a paper within one feed are told apart by date, link, then content.
+    ``feed`` is the file's path unless given. Feeds are parsed once and whole. Entries of
+    feeds that are not well formed have no position: they come after the others of their
+    feed, by date, link, then content.
     """
     order = (F.col("feed") if feed is None else feed).alias("__feed")
-    items = read_rss(spark, path)
+    items = landed_items(spark, path, cut_lineage(read_feeds(spark, path), "feeds"))
     papers = normalize_rss(
-        items, order, "link", cut=cut, updated_from_published=updated_from_published
+        items, order, "position", "link", cut=cut, updated_from_published=updated_from_published
     )
-    arrival = [F.col(c).asc() for c in ("__feed", "date", "link")]
+    arrival = [F.col("__feed").asc(), F.col("position").asc_nulls_last(), F.col("date").asc(), F.col("link").asc()]
     return first_by(papers, ("id",), arrival).select(*PAPER_COLUMNS)
 
 

@@ -1,4 +1,8 @@
-"""Landed OAI-PMH response pages."""
+"""Landed OAI-PMH response pages.
+
+``read_pages`` parses every page once and whole; records and trailers come from its rows.
+``read_oai`` and ``read_envelope`` read single elements, also of pages that break off.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,10 @@ RECORD_SCHEMA = (
 TOKEN_SCHEMA = "_VALUE string, _completeListSize string"
 ERROR_SCHEMA = "_VALUE string, _code string"
 NO_RECORDS = "noRecordsMatch"
+_RECORD = f"struct<{RECORD_SCHEMA.removesuffix(', _corrupt_record string')}>"
+_LIST = f"record array<{_RECORD}>, resumptionToken struct<{TOKEN_SCHEMA}>, error array<struct<{ERROR_SCHEMA}>>"
+# A page's root is the response, or the list by itself.
+PAGE_SCHEMA = f"{_LIST}, ListRecords struct<{_LIST}>, _corrupt_record string"
 
 
 def _elements(spark: SparkSession, path: str | list[str], tag: str, schema: str) -> DataFrame:
@@ -64,6 +72,57 @@ def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return tokens.unionByName(errors)
 
 
+def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per landed page: ``page, records, token, list_size, errors, corrupt``.
+
+    Each file is read and parsed once. A page that is not well formed is
+    ``corrupt`` and has nothing else; ``read_oai`` still finds its sound records.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    content = F.from_xml(F.col("content").cast("string"), PAGE_SCHEMA)
+    parsed = files.select(F.col("_metadata.file_path").alias("page"), content.alias("p"))
+    inner = F.col("p.ListRecords")
+    token = F.coalesce("p.resumptionToken", inner["resumptionToken"])
+    none = F.array().cast(f"array<struct<{ERROR_SCHEMA}>>")
+    return parsed.select(
+        "page",
+        F.coalesce("p.record", inner["record"]).alias("records"),
+        F.nullif(F.trim(token["_VALUE"]), F.lit("")).alias("token"),
+        token["_completeListSize"].try_cast("bigint").alias("list_size"),
+        F.concat(F.coalesce("p.error", none), F.coalesce(inner["error"], none)).alias("errors"),
+        F.col("p._corrupt_record").isNotNull().alias("corrupt"),
+    )
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """The records of parsed pages in the form of ``read_oai``; a corrupt page is one row without identifier."""
+    record = F.explode(F.when(F.col("corrupt"), F.array(F.lit(None).cast(_RECORD))).otherwise(F.col("records")))
+    rows = pages.select("page", "corrupt", record.alias("r"))
+    return rows.select(
+        F.col("r.header").alias("header"), F.col("r.metadata").alias("metadata"),
+        F.col("r.header.identifier").alias("identifier"), "page", "corrupt",
+    )
+
+
+def page_envelope(pages: DataFrame) -> DataFrame:
+    """The trailers of parsed pages in the form of ``read_envelope``: a row for each page with token, size or error."""
+    said = F.col("token").isNotNull() | F.col("list_size").isNotNull() | (F.size("errors") > 0)
+    rows = pages.filter(said).select("page", "token", "list_size", F.explode_outer("errors").alias("e"))
+    return rows.select("page", "token", "list_size", F.col("e._code").alias("error_code"), F.col("e._VALUE").alias("error_text"))
+
+
+def landed_pages(spark: SparkSession, path: str | list[str], pages: DataFrame) -> DataFrame:
+    """All records of parsed pages, with the sound ones of pages that are corrupt.
+
+    Only if there are corrupt pages, their files are read again, element by element.
+    """
+    records = page_records(pages)
+    broken = pages.filter("corrupt").select("page")
+    if broken.isEmpty():
+        return records
+    return records.unionByName(read_oai(spark, path).join(broken, "page", "left_semi"))
+
+
 def harvest_complete(records: DataFrame, envelope: DataFrame, source: Column) -> DataFrame:
     """Per harvested list: distinct records found, announced size, and whether the harvest is whole.
 

@@ -55,13 +55,18 @@ def _append(df: DataFrame, root: str, tag: str) -> None:
     writer.option("maxRecordsPerFile", 1000).partitionBy("lang").save(root)
 
 
+#: Items of one landed feed.
+FEED_ITEMS = 200
+
+
 def land_feeds(spark, sf_dir) -> str:
-    """One feed folder per language; items of one source do not link to a paper."""
+    """Feeds of one language each, their items in the order of ``seq``; items of one source do not link to a paper."""
     root = shared_dir(spark, "landed-feeds")
     path = F.when(F.col("source") == "src3", "/list/").otherwise("/abs/")
     when = F.try_to_timestamp("created", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
     items = papers(spark, sf_dir).select(
-        F.col("lang").alias("feed"),
+        F.format_string("%s-%08d", "lang", F.floor(F.col("seq") / FEED_ITEMS)).alias("feed"),
+        "seq",
         F.concat(F.lit("http://papers.example.org"), path, "id", F.lit("v"), "seq").alias("link"),
         "title",
         F.col("abstract").alias("description"),
@@ -69,7 +74,9 @@ def land_feeds(spark, sf_dir) -> str:
         F.split("categories_raw", " ").alias("category"),
         F.date_format(when, "EEE, dd MMM yyyy HH:mm:ss 'GMT'").alias("pubDate"),
     )
-    spread = items.repartition(spark.sparkContext.defaultParallelism)
-    writer = spread.write.format("xml").option("rootTag", "channel").option("rowTag", "item").option("validateName", "false")
-    writer.partitionBy("feed").save(root)
+    entry = F.to_xml(F.struct(*[c for c in items.columns if c not in ("feed", "seq")]), {"rowTag": "item", "validateName": "false"})
+    feeds = items.groupBy("feed").agg(F.sort_array(F.collect_list(F.struct("seq", entry.alias("text")))).alias("items"))
+    head = '<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'
+    text = F.concat(F.lit(head), F.array_join("items.text", "\n"), F.lit("</channel></rss>")).alias("value")
+    feeds.select("feed", text).write.partitionBy("feed").text(root)
     return root
