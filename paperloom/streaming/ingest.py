@@ -11,6 +11,7 @@ from paperloom.functions.dates import TIMESTAMP_FORMAT
 from paperloom.plans.merge import merge_increment, upsert_years
 from paperloom.schema import ModelSpec
 from paperloom.sources.oai import RECORD_SCHEMA, normalize_oai
+from paperloom.streaming.latest import changed_versions, disk_state
 
 
 def stream_oai(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -97,3 +98,31 @@ def upsert_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_pages(
+    spark: SparkSession,
+    landed: str,
+    root: str,
+    checkpoint: str,
+    quarantine: str,
+    rule: str | int = "created",
+    formats: tuple[str, ...] = (TIMESTAMP_FORMAT,),
+    keep: str = "new",
+    max_files: int | None = None,
+    shards: int = 1,
+    vectors_root: str | None = None,
+    models: Mapping[str, ModelSpec] | None = None,
+) -> StreamingQuery:
+    """Harvest pages as they land, cut to real changes, upserted into the yearly table.
+
+    Redelivered and late versions are dropped by keyed state on disk, so a micro-batch
+    touches only years, or parts of a versioned table, whose papers really change.
+    """
+    pages = stream_oai(spark, landed, max_files)
+    content = [c for c in pages.columns if c not in ("datestamp", "raw", "corrupt")]
+    with disk_state(spark):
+        changes = changed_versions(pages, content=content, shards=shards)
+        return upsert_stream(
+            changes, root, checkpoint, rule=rule, formats=formats, quarantine=quarantine, keep=keep, vectors_root=vectors_root, models=models
+        )
