@@ -1,18 +1,22 @@
-"""Scoring texts with a probabilistic suffix tree.
-
-A text is read as its words in lower case, each followed by a space, and one end. The
-symbols of the tree are bytes, so a word that was never seen is spelled out and still
-has a probability; summed over all word sequences the probabilities are one.
-
-Learning counts every six-byte string of the learning texts in one Spark aggregation,
-combined inside tasks. A context of one to five bytes is kept if it is frequent enough
-and its next-byte distribution diverges from that of its suffix by enough; the number
-of contexts that go to the tasks has a bound, ``MAX_CONTEXTS``, and those that diverge
-most come first. Distributions are smoothed towards their suffix's. Scoring walks an
-automaton whose state is the longest kept context that ends here.
-
-The base score needs the exact count of every word in every text. Words are counted in
-packed arrays; a chunk of texts sends a word that many of its texts have only once.
+"""Scoring texts with a probabilistic suffix tree over words.
+
+A text is its words in lower case and one end. The tree's root predicts every symbol with
+the smoothed frequencies of the base score; its other states are the last one or two
+words. A state is kept if it was seen ``min_count`` times and its
+next-symbol distribution diverges from its suffix's: each occurrence in the learning texts
+is predicted from the others, and the log likelihood gained over the suffix must reach
+``min_divergence``. A kept state smooths its counts towards its suffix's distribution, by
+as much as it has seen different symbols; a symbol is scored in the longest kept state
+that ends the text before it. The tree has no bound: it grows with the corpus, as a table
+that is spread over tasks and never held by one of them or by the driver.
+
+Texts are read once, in chunks that become word numbers. Then the tree grows a level at a
+time. A chunk sends each of its different (state, next word) pairs once, with how often
+its learning texts have it, to the pair's bucket; the bucket adds up what all chunks sent,
+judges the states it holds and answers each chunk in the order of its pairs. So a chunk
+learns only the part of the tree that its texts visit. States of very frequent words are
+cut over several buckets by the word that follows, and judged from the buckets' sums.
+A bucket holds one entry for each pair and chunk; there are as many buckets as keep them small.
 """
 
 from __future__ import annotations
@@ -26,332 +30,322 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.arrays import chunks, lower, text_bytes, word_hashes, words
+from paperloom.llm.arrays import chunks, lower, mix, prefix_hash, span_hash, text_bytes, words
 from paperloom.session import cut_lineage
 
-DEPTH = 5
-#: States that the automaton may have: 2 KB each in every task.
-MAX_CONTEXTS = 40_000
-#: A context seen less often is not kept.
-MIN_COUNT = 50
-#: Least divergence from the suffix's distribution: nats, weighted by the context's count.
-MIN_DIVERGENCE = 20.0
-#: Weight of the suffix's distribution in smoothing.
-SMOOTHING = 4.0
-END, BEGIN, SPACE = 0x0A, 0x0B, 0x20  # none of them occurs inside a word
-_WALK = 256  # bytes that one lane of the automaton walks
-_HASH_BITS = 52
-_MASK = np.uint64((1 << _HASH_BITS) - 1)
-_ALL = np.uint64((1 << 12) - 1)
-_REPEATED = 8
-_BUCKET_BYTES = 24 << 20
-
-
-def sequences(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of the texts laid end to end, each with ``DEPTH`` begin symbols before it, and where they start."""
+BUCKET_BYTES = 12 << 20
+
+
+@dataclass(frozen=True)
+class Settings:
+    """Parameters of the tree and of the chunks and buckets it is counted in."""
+
+    #: Words of the longest states.
+    depth: int = 2
+    #: A state seen less often is not kept.
+    min_count: int = 8
+    #: Least gain in log likelihood over the suffix's distribution, in nats.
+    min_divergence: float = 1.0
+    #: Occurrences of a state for each bucket that its pairs are cut over.
+    share: int = 1_000_000
+    chunk_bytes: int = 8 << 20
+    chunk_texts: int = 50_000
+
+
+_END = np.uint64(0x9E3779B97F4A7C15)
+
+_CHUNK = "bucket long, chunk long, words binary, counts binary, ids binary, flags binary, sizes binary, seq binary"
+_PAIRS = "bucket long, chunk long, states binary, follow binary, learnt binary, prior binary, cut binary"
+_ANSWER = (
+    "chunk long, depth int, bucket long, totals binary, numbers binary, states binary, kinds binary, kept binary, "
+    "vocabulary long, tokens long, state long, singles long, repeated long, n_kinds long, weight double"
+)
+_SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _names(form: str) -> list[str]:
+    return [part.split()[0] for part in form.split(", ")]
+
+
+def symbols(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word and end of the texts, in order, and how many each text has."""
     data = lower(data)
     begin, end, text = words(data, starts)
-    size = end - begin + 1
-    texts = len(starts) - 1
-    total = np.bincount(text, size, minlength=texts).astype(np.int64) + 1 + DEPTH
-    first = np.concatenate(([0], np.cumsum(total)))
-    out = np.full(first[-1], SPACE, dtype=np.uint8)
-    out[first[1:] - 1] = END
-    for k in range(DEPTH):
-        out[first[:-1] + k] = BEGIN
-    if len(begin):
-        before = np.concatenate(([0], np.cumsum(size)))[:-1]
-        at = before + (text + 1) * DEPTH + text  # where each word goes
-        inside = np.arange(int((end - begin).sum())) - np.repeat(np.concatenate(([0], np.cumsum(end - begin)))[:-1], end - begin)
-        out[np.repeat(at, end - begin) + inside] = data[np.repeat(begin, end - begin) + inside]
-    return out, first
-
-
-def _packed(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Every symbol with the ``DEPTH`` before it, as one number."""
-    at = np.ones(len(symbols), dtype=bool)
-    for k in range(DEPTH):
-        at[first[:-1] + k] = False
-    code = np.zeros(len(symbols), dtype=np.uint64)
-    for k in range(DEPTH, -1, -1):
-        code = (code << np.uint64(8)) | np.concatenate((np.zeros(k, np.uint8), symbols[: len(symbols) - k])).astype(np.uint64)
-    return code[at]
-
-
-def _gram_counts(batches):
-    held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def merge():
-        codes = np.concatenate([held[0], *(w[0] for w in waiting)])
-        counts = np.concatenate([held[1], *(w[1] for w in waiting)])
-        unique, place = np.unique(codes, return_inverse=True)
-        return unique, np.bincount(place, counts, minlength=len(unique)).astype(np.int64)
-
-    for batch in batches:
-        data, starts = text_bytes(batch.column("text"))
-        for a, b in chunks(starts):
-            symbols, first = sequences(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
-            waiting.append(np.unique(_packed(symbols, first), return_counts=True))
-            if len(waiting) == 16:
-                held, waiting = merge(), []
-        if len(held[0]) > 2_000_000:  # a task holds a bounded number; Spark adds up the rest
-            yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1])], ["gram", "n"])
-            held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    held = merge()
-    yield pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1])], ["gram", "n"])
-
-
-@dataclass
-class SuffixTree:
-    """The automaton: next state and log10 probability for each state and byte."""
-
-    step: np.ndarray
-    logs: np.ndarray
-    contexts: list[bytes]
-
-
-def fit(texts: DataFrame) -> SuffixTree:
-    """Learn from all rows of ``texts`` (``text``); null counts as empty."""
-    grams = cut_lineage(
-        texts.select("text").mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams"
-    )
-    levels = []
-    for depth in range(DEPTH + 1):
-        context = F.shiftright("gram", 8).bitwiseAND((1 << 8 * depth) - 1)
-        levels.append(grams.groupBy(context.alias("context"), F.col("gram").bitwiseAND(255).alias("symbol")).agg(F.sum("n").alias("n")).withColumn("depth", F.lit(depth)))
-    chosen = None
-    for depth in range(1, DEPTH + 1):
-        level, up = levels[depth], levels[depth - 1]
-        total = level.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= MIN_COUNT)
-        shorter = F.col("context").bitwiseAND((1 << 8 * (depth - 1)) - 1)
-        above = up.select(F.col("context").alias("up_context"), F.col("symbol").alias("up_symbol"), F.col("n").alias("up_n"))
-        above_total = up.groupBy(F.col("context").alias("all_context")).agg(F.sum("n").alias("up_total"))
-        gain = (
-            level.join(total, "context")
-            .join(above, (shorter == F.col("up_context")) & (F.col("symbol") == F.col("up_symbol")))
-            .join(above_total, F.col("up_context") == F.col("all_context"))
-            .groupBy("context")
-            .agg(F.sum(F.col("n") * F.log(F.col("n") / F.col("total") * F.col("up_total") / F.col("up_n"))).alias("gain"))
-            .filter(F.col("gain") >= MIN_DIVERGENCE)
-            .withColumn("depth", F.lit(depth))
-        )
-        chosen = gain if chosen is None else chosen.unionByName(gain)
-    kept = chosen.orderBy(F.desc("gain"), "depth", "context").limit(MAX_CONTEXTS // DEPTH).select("context", "depth")
-    # Automaton states: kept contexts and, so that steps are known, their prefixes.
-    rows = kept.collect()
-    names = {b""}
-    for row in rows:
-        name = row["context"].to_bytes(row["depth"], "big")
-        names.update(name[:k] for k in range(1, len(name) + 1))
-    kept_names = {row["context"].to_bytes(row["depth"], "big") for row in rows} | {b""}
-    every = None
-    for level in levels:
-        every = level if every is None else every.unionByName(level)
-    wanted = texts.sparkSession.createDataFrame(
-        [(int.from_bytes(n, "big"), len(n)) for n in sorted(kept_names)], "context long, depth int"
-    )
-    counts: dict[bytes, np.ndarray] = {}
-    for row in every.join(F.broadcast(wanted), ["context", "depth"]).collect():  # at most MAX_CONTEXTS x 256
-        name = row["context"].to_bytes(row["depth"], "big")
-        counts.setdefault(name, np.zeros(256))[row["symbol"]] = row["n"]
-    names_in_order = sorted(names, key=lambda n: (len(n), n))
-    number = {n: k for k, n in enumerate(names_in_order)}
-    logs = np.empty((len(number), 256))
-    step = np.zeros((len(number), 256), dtype=np.int32)
-    for name in names_in_order:
-        k = number[name]
-        own = counts.get(name)
-        if not name:
-            own = np.zeros(256) if own is None else own
-            logs[k] = (own + 1) / (own.sum() + 256)
-        else:
-            suffix = name[1:]
-            while suffix not in number:
-                suffix = suffix[1:]
-            base = logs[number[suffix]]
-            logs[k] = base if own is None or name not in kept_names else (own + SMOOTHING * base) / (own.sum() + SMOOTHING)
-        if name:
-            suffix = name[1:]
-            while suffix not in number:
-                suffix = suffix[1:]
-            step[k] = step[number[suffix]]
-        for symbol in range(256):
-            if (longer := number.get(name + bytes([symbol]))) is not None:
-                step[k, symbol] = longer
-    # Steps of short states may lead to longer ones only; those of suffixes were set before.
-    return SuffixTree(step, np.log10(logs).astype(np.float32), names_in_order)
-
-
-def score_symbols(tree: SuffixTree, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Log10 probability of each text in ``sequences`` form, all lanes walked side by side."""
-    texts = len(first) - 1
-    owner = np.repeat(np.arange(texts), np.diff(first))
-    lanes = -(-len(symbols) // _WALK)
-    padded = np.full(DEPTH + lanes * _WALK, BEGIN, dtype=np.uint8)
-    padded[DEPTH : DEPTH + len(symbols)] = symbols
-    state = np.zeros(lanes, dtype=np.int32)
-    at = np.arange(lanes) * _WALK
-    step, logs = tree.step.ravel(), tree.logs.ravel()
-    out = np.empty((_WALK, lanes), dtype=np.float32)
-    for k in range(-DEPTH, _WALK):  # the first steps bring each lane into its state
-        place = state * 256 + padded[at + k + DEPTH]
-        if k >= 0:
-            out[k] = logs[place]
-        state = step[place]
-    values = out.T.ravel()[: len(symbols)].astype(np.float64)
-    for k in range(DEPTH):
-        values[first[:-1] + k] = 0.0
-    return np.bincount(owner, values, minlength=texts)
-
-
-_CHUNK = "bucket long, chunk long, entries binary, times binary, ids binary, flags binary, sizes binary, scores binary"
-
-
-def _walked(tree: SuffixTree, buckets: int):
-    """Scores of each chunk's texts (a bucket below 0), and its packed words for each bucket."""
-    shift = np.uint64(_HASH_BITS - max(buckets.bit_length() - 1, 0))
+    sizes = np.bincount(text, minlength=len(starts) - 1) + 1
+    out = np.empty(int(sizes.sum()), np.uint64)
+    out[np.cumsum(sizes) - 1] = _END
+    out[np.arange(len(begin)) + text] = span_hash(prefix_hash(data), begin, end)
+    return out, sizes
+
+
+def _chunked(buckets: int, settings: Settings):
+    """A row for each chunk of texts, and its words with their learning counts for each bucket."""
+    shift = np.uint64(64 - max(buckets.bit_length() - 1, 0))
 
     def run(batches):
-        context, number = TaskContext.get(), 0
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            all_ids, learns = batch.column("doc_id").to_pylist(), batch.column("learns").to_numpy(zero_copy_only=False).astype(bool)
             data, starts = text_bytes(batch.column("text"))
-            out = {name: [] for name in ("bucket", "chunk", "entries", "times", "ids", "flags", "sizes", "scores")}
-            for a, b in chunks(starts):
-                part, at = data[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
-                scores = score_symbols(tree, *sequences(part, at))
-                word, text = word_hashes(part, at)
-                sizes = np.bincount(text, minlength=b - a)
-                packed, times = np.unique((text.astype(np.uint64) << np.uint64(_HASH_BITS)) | (word >> np.uint64(12)), return_counts=True)
-                values, owner = packed & _MASK, (packed >> np.uint64(_HASH_BITS)).astype(np.int64)
-                order = np.argsort(values, kind="stable")
-                packed, times, values, owner = packed[order], times[order], values[order], owner[order]
-                start = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
-                count = np.diff(np.concatenate((start, [len(values)])))
-                many = np.repeat(count >= _REPEATED, count)
-                learnt = times * learns[a:b][owner]
-                sums = np.add.reduceat(learnt, start) if len(start) else np.zeros(0, np.int64)
-                hot = count >= _REPEATED
-                sent = np.concatenate((packed[~many], (_ALL << np.uint64(_HASH_BITS)) | values[start[hot]]))
-                sent_times = np.concatenate((times[~many], np.zeros(int(hot.sum()), np.int64))).astype(np.int64)
-                sent_learnt = np.concatenate((learnt[~many], sums[hot])).astype(np.int64)
-                bucket = ((sent & _MASK) >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(sent), np.int64)
-                order = np.argsort(bucket, kind="stable")
-                sent, bucket = sent[order], bucket[order]
-                both = np.stack((sent_times[order], sent_learnt[order])).astype(np.uint32)
-                cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
-                chunk = (context.partitionId() << 32) + number
+            ids, learns = batch.column("doc_id"), batch.column("learns").to_numpy(zero_copy_only=False).astype(bool)
+            for a, b in chunks(starts, settings.chunk_bytes, settings.chunk_texts):
+                seq, sizes = symbols(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
+                known, seq = np.unique(seq, return_inverse=True)
+                counts = np.bincount(seq[np.repeat(learns[a:b], sizes)], minlength=len(known)).astype(np.uint32)
+                part = ids.slice(a, b - a)
+                flags = np.stack((np.asarray(part.is_valid()).astype(np.uint8), learns[a:b].astype(np.uint8)))
+                rows = [(-1, number, b"", b"", part.fill_null(0).to_numpy().astype(np.int64).tobytes(), flags.tobytes(),
+                         sizes.astype(np.int64).tobytes(), seq.astype(np.uint32).tobytes())]
+                bucket = (known >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(known), np.int64)
+                cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+                for x, y in zip(cut, [*cut[1:], len(known)], strict=True):
+                    rows.append((int(bucket[x]), number, known[x:y].tobytes(), counts[x:y].tobytes(), b"", b"", b"", b""))
+                kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)], _names(_CHUNK)
+                )
                 number += 1
-                ids = all_ids[a:b]
-                known = np.array([x is not None for x in ids], dtype=np.uint8)
-                rows = [(-1 - chunk, packed[many].tobytes(), times[many].astype(np.uint32).tobytes(), np.array([x or 0 for x in ids], np.int64).tobytes(),
-                         np.stack((known, learns[a:b].astype(np.uint8))).tobytes(), sizes.astype(np.int64).tobytes(), scores.tobytes())]
-                for x, y in zip(cut, [*cut[1:], len(sent)], strict=True):
-                    rows.append((int(bucket[x]), sent[x:y].tobytes(), np.ascontiguousarray(both[:, x:y]).tobytes(), b"", b"", b"", b""))
-                for row in rows:
-                    for name, value in zip(("bucket", "entries", "times", "ids", "flags", "sizes", "scores"), row, strict=True):
-                        out[name].append(value)
-                    out["chunk"].append(chunk)
-            kinds = {"bucket": pa.int64(), "chunk": pa.int64()}
-            yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in out.items()], list(out))
 
     return run
 
 
-_PARTS = (
-    "chunk long, entries binary, times binary, ids binary, flags binary, sizes binary, scores binary, "
-    "docs binary, sums binary, heavy binary, vocabulary long, tokens long"
-)
+def _answers(rows: list[dict]) -> pd.DataFrame:
+    blank = dict.fromkeys(("totals", "numbers", "states", "kinds", "kept"), b"") | dict.fromkeys(
+        ("depth", "bucket", "vocabulary", "tokens", "state", "singles", "repeated", "n_kinds"), 0
+    ) | {"chunk": -1, "weight": 0.0}
+    return pd.DataFrame([blank | row for row in rows], columns=_names(_ANSWER))
 
 
-def _counted(group: pd.DataFrame) -> pd.DataFrame:
-    """In one bucket: for each chunk what its words add to its texts, counts of its repeated words, and the vocabulary.
+def _word_totals(buckets: int):
+    """In one bucket of words: each chunk's words with their corpus counts and numbers; words never learnt have number -1."""
 
-    Rows about chunks pass.
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(group["bucket"].iloc[0])
+        at = np.concatenate(([0], np.cumsum([len(x) // 8 for x in group["words"]])))
+        known, place = np.unique(np.frombuffer(b"".join(group["words"]), np.uint64), return_inverse=True)
+        total = np.zeros(len(known), np.int64)
+        np.add.at(total, place, np.frombuffer(b"".join(group["counts"]), np.uint32).astype(np.int64))
+        number = np.where(total > 0, (np.cumsum(total > 0) - 1) * buckets + bucket, -1)
+        rows = [{"vocabulary": int((total > 0).sum()), "tokens": int(total.sum())}]
+        for k, chunk in enumerate(group["chunk"]):
+            mine = place[at[k] : at[k + 1]]
+            rows.append({"chunk": int(chunk), "bucket": bucket, "totals": total[mine].tobytes(), "numbers": number[mine].tobytes()})
+        return _answers(rows)
+
+    return run
+
+
+def unique_pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different pair of numbers occurs first, in order of pairs, and the pair's place for every position."""
+    if len(first) and first.max() < 1 << 31 and second.max() < 1 << 32:
+        _, at, place = np.unique(first.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64), return_index=True, return_inverse=True)
+        return at, place
+    order = np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
+def gain(singles, repeated, kinds, weight):
+    """Log likelihood that a state gains over its suffix, each occurrence predicted from the others.
+
+    A symbol seen once is predicted by the suffix's share alone, one seen n times by n - 1
+    occurrences; ``weight`` adds up, for the latter, log of n - 1 less the suffix's log probability.
     """
-    names = [part.split()[0] for part in _PARTS.split(", ")]
-    if group["bucket"].iloc[0] < 0:
-        return group.assign(docs=b"", sums=b"", heavy=b"", vocabulary=0, tokens=0)[names]
-    lengths = np.array([len(x) // 8 for x in group["entries"]])
-    entries = np.frombuffer(b"".join(group["entries"]), np.uint64)
-    at = np.concatenate(([0], np.cumsum(lengths)))
-    both = [np.frombuffer(x, np.uint32).reshape(2, -1) for x in group["times"]]
-    times = np.concatenate([x[0] for x in both]).astype(np.int64)
-    learnt = np.concatenate([x[1] for x in both]).astype(np.int64)
-    unique, number = np.unique(entries & _MASK, return_inverse=True)
-    total = np.bincount(number, learnt, minlength=len(unique))
-    count = total[number]
-    gain = times * np.log10(count + 1)
-    known = times * (count > 0)
-    text = (entries >> np.uint64(_HASH_BITS)).astype(np.int64)
-    rows = [(-1, b"", b"", b"", int((total > 0).sum()), int(total.sum()))]
-    for k, chunk in enumerate(group["chunk"]):
-        x, y = at[k], at[k + 1]
-        hot = text[x:y] == int(_ALL)
-        docs, place = np.unique(text[x:y][~hot], return_inverse=True)
-        sums = np.stack((np.bincount(place, gain[x:y][~hot], minlength=len(docs)), np.bincount(place, known[x:y][~hot], minlength=len(docs))))
-        heavy = np.stack((entries[x:y][hot] & _MASK, count[x:y][hot].astype(np.uint64)))
-        rows.append((int(chunk), docs.astype(np.int16).tobytes(), sums.tobytes(), np.ascontiguousarray(heavy).tobytes(), 0, 0))
-    found = pd.DataFrame(rows, columns=["chunk", "docs", "sums", "heavy", "vocabulary", "tokens"])
-    return found.assign(entries=b"", times=b"", ids=b"", flags=b"", sizes=b"", scores=b"")[names]
-
-
-def _gathered(group: pd.DataFrame) -> pd.DataFrame:
-    """All texts of a chunk with their sums."""
-    about = group[group["ids"].str.len() > 0]
-    if not len(about):
-        return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "gain", "score"])
-    rest, about = group[group["ids"].str.len() == 0], about.iloc[0]
-    ids, sizes = np.frombuffer(about["ids"], np.int64), np.frombuffer(about["sizes"], np.int64)
-    known_id, learns = np.frombuffer(about["flags"], np.uint8).reshape(2, -1)
-    gain, known = np.zeros(len(ids)), np.zeros(len(ids))
-    heavy = []
-    for docs, sums, hot in zip(rest["docs"], rest["sums"], rest["heavy"], strict=True):
-        place, parts = np.frombuffer(docs, np.int16), np.frombuffer(sums, np.float64).reshape(2, -1)
-        gain[place] += parts[0]
-        known[place] += parts[1]
-        heavy.append(np.frombuffer(hot, np.uint64).reshape(2, -1))
-    entries, times = np.frombuffer(about["entries"], np.uint64), np.frombuffer(about["times"], np.uint32)
-    if len(entries):
-        table = np.concatenate(heavy, axis=1)
-        order = np.argsort(table[0])
-        count = table[1][order][np.searchsorted(table[0][order], entries & _MASK)].astype(np.float64)
-        owner = (entries >> np.uint64(_HASH_BITS)).astype(np.int64)
-        gain += np.bincount(owner, times * np.log10(count + 1), minlength=len(ids))
-        known += np.bincount(owner, times * (count > 0), minlength=len(ids))
-    return pd.DataFrame({
-        "doc_id": pd.array([i if k else None for i, k in zip(ids.tolist(), known_id, strict=True)], dtype="Int64"),
-        "held_out": learns == 0, "n_tokens": sizes, "n_known": np.rint(known).astype(np.int64), "gain": gain, "score": np.frombuffer(about["scores"], np.float64),
-    })
-
-
-def score_texts(docs: DataFrame) -> DataFrame:
+    rest = np.log(np.maximum(singles + repeated + kinds, 1))
+    return weight - repeated * rest + singles * (np.log(np.maximum(kinds, 1)) - rest)
+
+
+def _pair_totals(depth: int, buckets: int, settings: Settings):
+    """In one bucket of pairs: corpus counts for each chunk's pairs, numbers of pairs that may be states, and judged states."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(group["bucket"].iloc[0])
+        at = np.concatenate(([0], np.cumsum([len(x) // 8 for x in group["states"]])))
+        state, follow = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("states", "follow"))
+        first, place = unique_pairs(state, follow)
+        n = np.zeros(len(first), np.int64)
+        np.add.at(n, place, np.frombuffer(b"".join(group["learnt"]), np.uint32).astype(np.int64))
+        prior = np.frombuffer(b"".join(group["prior"]), np.float32)[first].astype(np.float64)
+        cut = np.frombuffer(b"".join(group["cut"]), np.uint8)[first].astype(bool)
+        often = n >= settings.min_count
+        number = np.where(often, (np.cumsum(often) - 1) * buckets + bucket, -1)
+        start = np.flatnonzero(np.diff(state[first], prepend=-1))
+        states, cut = state[first][start], cut[start]
+        singles, repeated = np.add.reduceat(n == 1, start), np.add.reduceat(np.where(n > 1, n, 0), start)
+        kinds = np.add.reduceat(n > 0, start)
+        weight = np.add.reduceat(np.where(n > 1, n * (np.log(np.maximum(n - 1, 1)) - prior), 0.0), start)
+        kept = gain(singles, repeated, kinds, weight) >= settings.min_divergence
+        rows = []
+        for k, chunk in enumerate(group["chunk"]):
+            mine = place[at[k] : at[k + 1]]
+            own = np.searchsorted(states, np.unique(state[at[k] : at[k + 1]]))
+            whole = own[~cut[own]]
+            rows.append({
+                "chunk": int(chunk), "depth": depth, "bucket": bucket, "totals": n[mine].tobytes(), "numbers": number[mine].tobytes(),
+                "states": states[whole].tobytes(), "kinds": kinds[whole].astype(np.int64).tobytes(), "kept": kept[whole].astype(np.uint8).tobytes(),
+            })
+            rows += [{"chunk": int(chunk), "depth": -1, "state": int(s)} for s in states[own[cut[own]]]]
+        for s, x, y, z, w in zip(*(v[cut] for v in (states, singles, repeated, kinds, weight)), strict=True):
+            rows.append({"depth": -1, "state": int(s), "singles": int(x), "repeated": int(y), "n_kinds": int(z), "weight": float(w)})
+        return _answers(rows)
+
+    return run
+
+
+class _Walk:
+    """The texts of a chunk, walked down the tree as far as it has been answered."""
+
+    def __init__(self, chunk: pd.Series, answers: pd.DataFrame, tokens: int, vocabulary: int, settings: Settings):
+        self.settings = settings
+        self.ids = np.frombuffer(chunk["ids"], np.int64)
+        self.named, self.learns = np.frombuffer(chunk["flags"], np.uint8).reshape(2, -1)
+        self.sizes = np.frombuffer(chunk["sizes"], np.int64)
+        self.seq = np.frombuffer(chunk["seq"], np.uint32).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.first = np.zeros(len(self.seq), bool)
+        self.first[np.cumsum(self.sizes) - self.sizes] = True
+        answers = answers.sort_values(["depth", "bucket"])
+        words_ = answers[answers["depth"] == 0]
+        total = np.frombuffer(b"".join(words_["totals"]), np.int64)
+        self.word = np.frombuffer(b"".join(words_["numbers"]), np.int64)[self.seq]
+        self.count = total[self.seq]
+        self.base = np.log((self.count + 1) / (tokens + vocabulary + 1))
+        self.log = self.base
+        # The state of a token is the number of the words before it, with how often they occur.
+        self.state, self.seen = self._before(np.where(self.count >= settings.min_count, self.word, -1), self.count)
+
+    def _before(self, number: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        state = np.concatenate(([-1], number[:-1]))
+        state[self.first] = -1
+        return state, np.concatenate(([0], seen[:-1]))
+
+    def pairs(self, buckets: int) -> dict[str, np.ndarray]:
+        """Different pairs of state and word, in bucket order; ``place`` gives each token's pair, or -1."""
+        here = np.flatnonzero((self.state >= 0) & (self.word >= 0))
+        state, follow = self.state[here], self.word[here]
+        first, place = unique_pairs(state, follow)
+        learnt = np.bincount(place, self.learns[self.owner[here]], minlength=len(first)).astype(np.uint32)
+        state, follow, seen = state[first], follow[first], self.seen[here][first]
+        shares = (1 + seen // self.settings.share).astype(np.uint64)
+        share = mix(follow.astype(np.uint64)) % shares
+        bucket = (mix(mix(state.astype(np.uint64)) + share) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        token = np.full(len(self.seq), -1)
+        token[here] = rank[place]
+        return {
+            "bucket": bucket[order], "states": state[order], "follow": follow[order], "learnt": learnt[order],
+            "prior": self.log[here][first][order].astype(np.float32), "cut": (shares > 1).astype(np.uint8)[order], "place": token,
+        }
+
+    def descend(self, pairs: dict[str, np.ndarray], answers: pd.DataFrame, judged: pd.DataFrame, depth: int) -> None:
+        """Take the answers to ``pairs``: score each token in its state if that is kept, and go to the next states."""
+        mine = answers[answers["depth"] == depth].sort_values("bucket")
+        n, number = (np.append(np.frombuffer(b"".join(mine[c]), np.int64), last) for c, last in (("totals", 0), ("numbers", -1)))
+        states, kinds = (np.frombuffer(b"".join(mine[c]), np.int64) for c in ("states", "kinds"))
+        kept = np.frombuffer(b"".join(mine["kept"]), np.uint8).astype(bool)
+        extra = judged[judged["depth"] == depth] if len(judged) else judged
+        if len(extra):
+            states, kinds = np.append(states, extra["state"]), np.append(kinds, extra["n_kinds"])
+            kept = np.append(kept, extra["gain"] >= self.settings.min_divergence)
+        here, count = self.state >= 0, n[pairs["place"]]
+        if len(states):
+            # A state whose words all are unknown here was not asked for, and tells nothing.
+            order = np.argsort(states)
+            at = np.minimum(np.searchsorted(states[order], self.state), len(states) - 1)
+            here &= (states[order][at] == self.state) & kept[order][at]
+            types = kinds[order][at]
+            smooth = np.log((count + types * np.exp(self.log)) / np.maximum(self.seen + types, 1))
+            self.log = np.where(here, smooth, self.log)
+        self.state, self.seen = self._before(np.where(pairs["place"] >= 0, number[pairs["place"]], -1), count)
+
+    def scores(self) -> pd.DataFrame:
+        texts = len(self.ids)
+        ten = np.log(10.0)
+        return pd.DataFrame({
+            "doc_id": pd.array([i if k else None for i, k in zip(self.ids.tolist(), self.named, strict=True)], dtype="Int64"),
+            "held_out": self.learns == 0, "n_tokens": self.sizes,
+            "n_known": np.bincount(self.owner, self.count > 0, minlength=texts).astype(np.int64),
+            "base_score": np.bincount(self.owner, self.base, minlength=texts) / ten,
+            "score": np.bincount(self.owner, self.log, minlength=texts) / ten,
+        })
+
+
+def _walked(depth: int, buckets: int, tokens: int, vocabulary: int, settings: Settings):
+    """For each chunk: its pairs at the level ``depth``, or beyond the last level its scores."""
+
+    def run(_, group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        answers, judged = answers[answers["state"] < 0], answers[answers["state"] >= 0]
+        walk = _Walk(group.iloc[0], answers, tokens, vocabulary, settings)
+        for level in range(1, depth):
+            walk.descend(walk.pairs(buckets), answers, judged, level)
+        if depth > settings.depth:
+            return walk.scores()
+        pairs = walk.pairs(buckets)
+        cut = np.flatnonzero(np.diff(pairs["bucket"], prepend=-1))
+        columns = [c for c in _names(_PAIRS) if c not in ("bucket", "chunk")]
+        rows = [
+            (int(pairs["bucket"][x]), int(group["chunk"].iloc[0]), *[pairs[c][x:y].tobytes() for c in columns])
+            for x, y in zip(cut, np.append(cut[1:], len(pairs["bucket"])), strict=False)
+        ]
+        return pd.DataFrame(rows, columns=_names(_PAIRS))
+
+    return run
+
+
+def _answer_rows(answer: DataFrame, depth: int) -> DataFrame:
+    """Answers by chunk, and the verdicts on states that were cut over buckets, for the chunks that asked for them."""
+    plain = answer.filter("depth >= 0").select(
+        F.col("chunk").alias("of"), "depth", "bucket", "totals", "numbers", "states", "kinds", "kept",
+        F.lit(-1).cast("long").alias("state"), F.lit(0).cast("long").alias("n_kinds"), F.lit(0.0).alias("gain"),
+    )
+    sums = answer.filter("depth = -1 and chunk = -1").groupBy("state").agg(
+        *[F.sum(c).alias(c) for c in ("singles", "repeated", "n_kinds", "weight")]
+    )
+    rest = F.log(F.greatest(F.col("singles") + F.col("repeated") + F.col("n_kinds"), F.lit(1)))
+    value = F.col("weight") - F.col("repeated") * rest + F.col("singles") * (F.log(F.greatest("n_kinds", F.lit(1))) - rest)
+    asked = answer.filter("depth = -1 and chunk <> -1").select("chunk", "state").distinct()
+    empty = F.lit(b"")
+    judged = asked.join(sums.select("state", "n_kinds", value.alias("gain")), "state").select(
+        F.col("chunk").alias("of"), F.lit(depth).alias("depth"), F.lit(0).cast("long").alias("bucket"),
+        *[empty.alias(c) for c in ("totals", "numbers", "states", "kinds", "kept")], "state", "n_kinds", "gain",
+    )
+    return plain.unionByName(judged)
+
+
+def score_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:  # noqa: B008
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``.
 
     Rows whose ``crc32`` of the id leaves 2 modulo 7 are held out from learning. Null
     and empty texts are one end token; a null id counts as the empty text. Repeated rows
     count each. Without learning rows every probability is uniform. An empty table gives
     no rows. Other columns are ignored.
+
+    Words are told apart by 64-bit hashes of their bytes.
     """
     source = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 != 2).alias("learns"),
     )
-    tree = fit(source.filter("learns"))
-    facts = source.agg(F.sum(F.octet_length("text")), F.sum(F.col("learns").cast("long"))).first()
-    ends = facts[1] or 0
-    buckets = 1 << max(3, int((facts[0] or 0) * 16 / 10 / _BUCKET_BYTES).bit_length())
-    packed = source.mapInArrow(_walked(tree, buckets), _CHUNK)
-    counted = cut_lineage(packed.groupBy("bucket").applyInPandas(_counted, _PARTS), "counts")
-    total = counted.filter("chunk = -1").agg(F.sum("vocabulary"), F.sum("tokens")).first()
-    vocabulary, tokens = (total[0] or 0) + (1 if ends else 0), (total[1] or 0) + ends
-    texts = counted.filter("chunk >= 0").drop("vocabulary", "tokens").groupBy("chunk").applyInPandas(
-        _gathered, "doc_id long, held_out boolean, n_tokens long, n_known long, gain double, score double"
-    )
-    n = F.col("n_tokens") + 1
-    base = F.col("gain") + F.log10(F.lit(float(ends + 1))) - n * F.log10(F.lit(float(tokens + vocabulary + 1)))
-    return texts.select(
-        "doc_id", "held_out", n.alias("n_tokens"), (F.col("n_known") + (1 if ends else 0)).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 << max(3, (size // BUCKET_BYTES).bit_length())
+    table = cut_lineage(source.mapInArrow(_chunked(buckets, settings), _CHUNK), "lm-chunks")
+    texts = table.filter("bucket < 0")
+    words_ = table.filter("bucket >= 0").select("bucket", "chunk", "words", "counts")
+    answer = cut_lineage(words_.groupBy("bucket").applyInPandas(_word_totals(buckets), _ANSWER), "lm-words")
+    total = answer.filter("chunk = -1").agg(F.sum("vocabulary"), F.sum("tokens")).first()
+    vocabulary, tokens = total[0] or 0, total[1] or 0
+    answers = _answer_rows(answer.filter("chunk <> -1"), 0)
+    for depth in range(1, settings.depth + 1):
+        walk = _walked(depth, buckets, tokens, vocabulary, settings)
+        pairs = texts.groupBy("chunk").cogroup(answers.groupBy("of")).applyInPandas(walk, _PAIRS)
+        answer = cut_lineage(pairs.groupBy("bucket").applyInPandas(_pair_totals(depth, buckets, settings), _ANSWER), "lm-pairs")
+        answers = answers.unionByName(_answer_rows(answer, depth))
+    walk = _walked(settings.depth + 1, buckets, tokens, vocabulary, settings)
+    scored = texts.groupBy("chunk").cogroup(answers.groupBy("of")).applyInPandas(walk, _SCORE)
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
