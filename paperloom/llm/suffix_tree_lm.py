@@ -48,14 +48,14 @@ class Settings:
     min_divergence: float = 1.0
     #: Occurrences of a state for each bucket that its pairs are cut over.
     share: int = 1_000_000
-    chunk_bytes: int = 8 << 20
+    chunk_bytes: int = 3 << 20
     chunk_texts: int = 50_000
 
 
 _END = np.uint64(0x9E3779B97F4A7C15)
 
 _CHUNK = "bucket long, chunk long, words binary, counts binary, ids binary, flags binary, sizes binary, seq binary"
-_PAIRS = "bucket long, chunk long, states binary, follow binary, learnt binary, prior binary, cut binary"
+_PAIRS = "bucket long, chunk long, states binary, sizes binary, cut binary, follow binary, learnt binary, prior binary"
 _ANSWER = (
     "chunk long, depth int, bucket long, totals binary, numbers binary, states binary, kinds binary, kept binary, "
     "vocabulary long, tokens long, state long, singles long, repeated long, n_kinds long, weight double"
@@ -67,6 +67,24 @@ def _names(form: str) -> list[str]:
     return [part.split()[0] for part in form.split(", ")]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, none below -1, in as few bytes as the greatest needs, byte by byte so that zeros compress."""
+    up = (values.astype(np.int64) + 1).astype(np.uint64)
+    most = int(up.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + up.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def unpack(parts) -> np.ndarray:
+    """The numbers of packed pieces, one after another."""
+    out = [np.zeros(0, np.int64)]
+    for part in parts:
+        width = part[0]
+        planes = np.frombuffer(part, np.uint8, offset=1).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64) - 1)
+    return np.concatenate(out)
+
+
 def symbols(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word and end of the texts, in order, and how many each text has."""
     data = lower(data)
@@ -90,15 +108,15 @@ def _chunked(buckets: int, settings: Settings):
             for a, b in chunks(starts, settings.chunk_bytes, settings.chunk_texts):
                 seq, sizes = symbols(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
                 known, seq = np.unique(seq, return_inverse=True)
-                counts = np.bincount(seq[np.repeat(learns[a:b], sizes)], minlength=len(known)).astype(np.uint32)
+                counts = np.bincount(seq[np.repeat(learns[a:b], sizes)], minlength=len(known))
                 part = ids.slice(a, b - a)
                 flags = np.stack((np.asarray(part.is_valid()).astype(np.uint8), learns[a:b].astype(np.uint8)))
                 rows = [(-1, number, b"", b"", part.fill_null(0).to_numpy().astype(np.int64).tobytes(), flags.tobytes(),
-                         sizes.astype(np.int64).tobytes(), seq.astype(np.uint32).tobytes())]
+                         pack(sizes), pack(seq))]
                 bucket = (known >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(known), np.int64)
                 cut = np.flatnonzero(np.diff(bucket, prepend=-1))
                 for x, y in zip(cut, [*cut[1:], len(known)], strict=True):
-                    rows.append((int(bucket[x]), number, known[x:y].tobytes(), counts[x:y].tobytes(), b"", b"", b"", b""))
+                    rows.append((int(bucket[x]), number, known[x:y].tobytes(), pack(counts[x:y]), b"", b"", b"", b""))
                 kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)], _names(_CHUNK)
@@ -109,7 +127,7 @@ def _chunked(buckets: int, settings: Settings):
 
 
 def _answers(rows: list[dict]) -> pd.DataFrame:
-    blank = dict.fromkeys(("totals", "numbers", "states", "kinds", "kept"), b"") | dict.fromkeys(
+    blank = dict.fromkeys(("totals", "numbers", "states", "kinds", "kept"), pack(np.zeros(0))) | dict.fromkeys(
         ("depth", "bucket", "vocabulary", "tokens", "state", "singles", "repeated", "n_kinds"), 0
     ) | {"chunk": -1, "weight": 0.0}
     return pd.DataFrame([blank | row for row in rows], columns=_names(_ANSWER))
@@ -123,12 +141,12 @@ def _word_totals(buckets: int):
         at = np.concatenate(([0], np.cumsum([len(x) // 8 for x in group["words"]])))
         known, place = np.unique(np.frombuffer(b"".join(group["words"]), np.uint64), return_inverse=True)
         total = np.zeros(len(known), np.int64)
-        np.add.at(total, place, np.frombuffer(b"".join(group["counts"]), np.uint32).astype(np.int64))
+        np.add.at(total, place, unpack(group["counts"]))
         number = np.where(total > 0, (np.cumsum(total > 0) - 1) * buckets + bucket, -1)
         rows = [{"vocabulary": int((total > 0).sum()), "tokens": int(total.sum())}]
         for k, chunk in enumerate(group["chunk"]):
             mine = place[at[k] : at[k + 1]]
-            rows.append({"chunk": int(chunk), "bucket": bucket, "totals": total[mine].tobytes(), "numbers": number[mine].tobytes()})
+            rows.append({"chunk": int(chunk), "bucket": bucket, "totals": pack(total[mine]), "numbers": pack(number[mine][total[mine] > 0])})
         return _answers(rows)
 
     return run
@@ -162,13 +180,14 @@ def _pair_totals(depth: int, buckets: int, settings: Settings):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         bucket = int(group["bucket"].iloc[0])
-        at = np.concatenate(([0], np.cumsum([len(x) // 8 for x in group["states"]])))
-        state, follow = (np.frombuffer(b"".join(group[c]), np.int64) for c in ("states", "follow"))
+        at = np.concatenate(([0], np.cumsum([len(x) // 2 for x in group["prior"]])))
+        sizes = unpack(group["sizes"])
+        state, follow = np.repeat(unpack(group["states"]), sizes), unpack(group["follow"])
         first, place = unique_pairs(state, follow)
         n = np.zeros(len(first), np.int64)
-        np.add.at(n, place, np.frombuffer(b"".join(group["learnt"]), np.uint32).astype(np.int64))
-        prior = np.frombuffer(b"".join(group["prior"]), np.float32)[first].astype(np.float64)
-        cut = np.frombuffer(b"".join(group["cut"]), np.uint8)[first].astype(bool)
+        np.add.at(n, place, unpack(group["learnt"]))
+        prior = np.frombuffer(b"".join(group["prior"]), np.float16)[first].astype(np.float64)
+        cut = np.repeat(unpack(group["cut"]), sizes)[first].astype(bool)
         often = n >= settings.min_count
         number = np.where(often, (np.cumsum(often) - 1) * buckets + bucket, -1)
         start = np.flatnonzero(np.diff(state[first], prepend=-1))
@@ -183,8 +202,8 @@ def _pair_totals(depth: int, buckets: int, settings: Settings):
             own = np.searchsorted(states, np.unique(state[at[k] : at[k + 1]]))
             whole = own[~cut[own]]
             rows.append({
-                "chunk": int(chunk), "depth": depth, "bucket": bucket, "totals": n[mine].tobytes(), "numbers": number[mine].tobytes(),
-                "states": states[whole].tobytes(), "kinds": kinds[whole].astype(np.int64).tobytes(), "kept": kept[whole].astype(np.uint8).tobytes(),
+                "chunk": int(chunk), "depth": depth, "bucket": bucket, "totals": pack(n[mine]), "numbers": pack(number[mine][often[mine]]),
+                "states": pack(states[whole]), "kinds": pack(kinds[whole]), "kept": pack(kept[whole]),
             })
             rows += [{"chunk": int(chunk), "depth": -1, "state": int(s)} for s in states[own[cut[own]]]]
         for s, x, y, z, w in zip(*(v[cut] for v in (states, singles, repeated, kinds, weight)), strict=True):
@@ -194,6 +213,13 @@ def _pair_totals(depth: int, buckets: int, settings: Settings):
     return run
 
 
+def _spread(values: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """Values at the places that have one, -1 at the others."""
+    out = np.full(len(there), -1)
+    out[there] = values
+    return out
+
+
 class _Walk:
     """The texts of a chunk, walked down the tree as far as it has been answered."""
 
@@ -201,15 +227,14 @@ class _Walk:
         self.settings = settings
         self.ids = np.frombuffer(chunk["ids"], np.int64)
         self.named, self.learns = np.frombuffer(chunk["flags"], np.uint8).reshape(2, -1)
-        self.sizes = np.frombuffer(chunk["sizes"], np.int64)
-        self.seq = np.frombuffer(chunk["seq"], np.uint32).astype(np.int64)
+        self.sizes, self.seq = unpack([chunk["sizes"]]), unpack([chunk["seq"]])
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.first = np.zeros(len(self.seq), bool)
         self.first[np.cumsum(self.sizes) - self.sizes] = True
         answers = answers.sort_values(["depth", "bucket"])
         words_ = answers[answers["depth"] == 0]
-        total = np.frombuffer(b"".join(words_["totals"]), np.int64)
-        self.word = np.frombuffer(b"".join(words_["numbers"]), np.int64)[self.seq]
+        total = unpack(words_["totals"])
+        self.word = _spread(unpack(words_["numbers"]), total > 0)[self.seq]
         self.count = total[self.seq]
         self.base = np.log((self.count + 1) / (tokens + vocabulary + 1))
         self.log = self.base
@@ -226,7 +251,7 @@ class _Walk:
         here = np.flatnonzero((self.state >= 0) & (self.word >= 0))
         state, follow = self.state[here], self.word[here]
         first, place = unique_pairs(state, follow)
-        learnt = np.bincount(place, self.learns[self.owner[here]], minlength=len(first)).astype(np.uint32)
+        learnt = np.bincount(place, self.learns[self.owner[here]], minlength=len(first)).astype(np.int64)
         state, follow, seen = state[first], follow[first], self.seen[here][first]
         shares = (1 + seen // self.settings.share).astype(np.uint64)
         share = mix(follow.astype(np.uint64)) % shares
@@ -238,15 +263,15 @@ class _Walk:
         token[here] = rank[place]
         return {
             "bucket": bucket[order], "states": state[order], "follow": follow[order], "learnt": learnt[order],
-            "prior": self.log[here][first][order].astype(np.float32), "cut": (shares > 1).astype(np.uint8)[order], "place": token,
+            "prior": self.log[here][first][order].astype(np.float16), "cut": (shares > 1)[order], "place": token,
         }
 
     def descend(self, pairs: dict[str, np.ndarray], answers: pd.DataFrame, judged: pd.DataFrame, depth: int) -> None:
         """Take the answers to ``pairs``: score each token in its state if that is kept, and go to the next states."""
         mine = answers[answers["depth"] == depth].sort_values("bucket")
-        n, number = (np.append(np.frombuffer(b"".join(mine[c]), np.int64), last) for c, last in (("totals", 0), ("numbers", -1)))
-        states, kinds = (np.frombuffer(b"".join(mine[c]), np.int64) for c in ("states", "kinds"))
-        kept = np.frombuffer(b"".join(mine["kept"]), np.uint8).astype(bool)
+        n = np.append(unpack(mine["totals"]), 0)
+        number = _spread(unpack(mine["numbers"]), n >= self.settings.min_count)
+        states, kinds, kept = unpack(mine["states"]), unpack(mine["kinds"]), unpack(mine["kept"]).astype(bool)
         extra = judged[judged["depth"] == depth] if len(judged) else judged
         if len(extra):
             states, kinds = np.append(states, extra["state"]), np.append(kinds, extra["n_kinds"])
@@ -286,11 +311,14 @@ def _walked(depth: int, buckets: int, tokens: int, vocabulary: int, settings: Se
             return walk.scores()
         pairs = walk.pairs(buckets)
         cut = np.flatnonzero(np.diff(pairs["bucket"], prepend=-1))
-        columns = [c for c in _names(_PAIRS) if c not in ("bucket", "chunk")]
-        rows = [
-            (int(pairs["bucket"][x]), int(group["chunk"].iloc[0]), *[pairs[c][x:y].tobytes() for c in columns])
-            for x, y in zip(cut, np.append(cut[1:], len(pairs["bucket"])), strict=False)
-        ]
+        rows = []
+        for x, y in zip(cut, np.append(cut[1:], len(pairs["bucket"])), strict=False):
+            states = pairs["states"][x:y]
+            start = np.flatnonzero(np.diff(states, prepend=-1))
+            rows.append((
+                int(pairs["bucket"][x]), int(group["chunk"].iloc[0]), pack(states[start]), pack(np.diff(start, append=y - x)),
+                pack(pairs["cut"][x:y][start]), pack(pairs["follow"][x:y]), pack(pairs["learnt"][x:y]), pairs["prior"][x:y].tobytes(),
+            ))
         return pd.DataFrame(rows, columns=_names(_PAIRS))
 
     return run
@@ -308,7 +336,7 @@ def _answer_rows(answer: DataFrame, depth: int) -> DataFrame:
     rest = F.log(F.greatest(F.col("singles") + F.col("repeated") + F.col("n_kinds"), F.lit(1)))
     value = F.col("weight") - F.col("repeated") * rest + F.col("singles") * (F.log(F.greatest("n_kinds", F.lit(1))) - rest)
     asked = answer.filter("depth = -1 and chunk <> -1").select("chunk", "state").distinct()
-    empty = F.lit(b"")
+    empty = F.lit(pack(np.zeros(0)))
     judged = asked.join(sums.select("state", "n_kinds", value.alias("gain")), "state").select(
         F.col("chunk").alias("of"), F.lit(depth).alias("depth"), F.lit(0).cast("long").alias("bucket"),
         *[empty.alias(c) for c in ("totals", "numbers", "states", "kinds", "kept")], "state", "n_kinds", "gain",
