@@ -18,10 +18,12 @@ from paperloom.operators.status import (
     tasks_of_papers,
     unconfigured,
 )
-from paperloom.schema import ModelSpec
+from paperloom.files import commit_file, commit_json, commit_numbers, read_json
+from paperloom.schema import TASK_SCHEMA, ModelSpec
 from paperloom.session import cut_lineage, shared_dir
 from paperloom.sinks.tables import replace_touched, write_artifacts, write_tasks
 from paperloom.sources.tables import next_seq, read_touched, read_vectors, table_state, touched
+from paperloom.vector_runs import is_runs, new_run, publish, read_runs, write_part
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -89,7 +91,8 @@ def run_tasks(
     Each configured model is one job: papers are first cut to that model's tasks, then
     spread over ``partitions`` encoder tasks, which load this model only. Vectors are
     appended to ``output`` once and the log is made from what was written there. ``seq`` is
-    this run's place in the vector history, by default the next free one of ``output``.
+    this run's place in the vector history, by default the next free one of ``output``. A
+    history of runs gives the place itself; ``run_ledgered`` can go on with a run there.
 
     A task fails when its model is not configured, its paper is not in the table, or the
     encoder did not start. A text that could not be embedded gets a NaN vector and counts
@@ -97,6 +100,8 @@ def run_tasks(
     """
     spark = papers.sparkSession
     root = output or shared_dir(spark, "vectors")
+    if is_runs(spark, root):
+        return run_ledgered(papers, tasks, models, encoders, root, new_run(), 1, batch_size, partitions, nan_failed)
     seq = next_seq(spark, root) if seq is None else seq
     texts = papers.select("id", "year", embed_text().alias("text"))
     ready = {k: m for k, m in models.items() if m.name and m.dimension and k in encoders}
@@ -116,6 +121,73 @@ def run_tasks(
     return TaskRun(written, task_status(tasks, written, ready, stopped, root, nan_failed))
 
 
+def run_ledgered(
+    papers: DataFrame,
+    tasks: DataFrame,
+    models: Mapping[str, ModelSpec],
+    encoders: Mapping[str, EncoderFactory],
+    root: str,
+    run: str,
+    slices: int = 8,
+    batch_size: int = BATCH_SIZE,
+    partitions: int | None = None,
+    nan_failed: bool = False,
+) -> TaskRun:
+    """``run_tasks`` into a history of runs, with a ledger from which a run that died goes on.
+
+    The first attempt writes the run's work, each task with its text, cut into ``slices``
+    per model. Every slice is a job of its own; when it is written, an entry in the ledger
+    names its files. Another call with the same ``run`` takes the stored work, whatever
+    papers and tasks say then, and encodes only slices without an entry. The run becomes
+    visible at the end, by one commit, so each task counts once. Models whose encoder did
+    not start are reported as failed and are taken up by the next call.
+    """
+    spark = papers.sparkSession
+    ledger = f"{root}/ledger/{run}"
+    attempt = 0
+    while not commit_json(spark, f"{ledger}/attempts", attempt, {"run": run}):
+        attempt += 1
+    ready = {k: m for k, m in models.items() if m.name and m.dimension and k in encoders}
+    if not commit_numbers(spark, f"{ledger}/work"):
+        _land_work(papers, tasks, ledger, attempt, slices)
+    place = read_json(spark, commit_file(f"{ledger}/work", 0))
+    stored = spark.read.schema(TASK_SCHEMA).parquet(f"{ledger}/{place['tasks']}")
+    work = spark.read.schema("id string, year int, text string, model_key string, slice int").parquet(f"{ledger}/{place['texts']}")
+    not_started = F.coalesce(F.startswith("error", F.lit(NOT_STARTED)), F.lit(False))
+    parts, stopped = [], {}
+    for place_of_model, (key, model) in enumerate(sorted(ready.items())):
+        for number in range(place["slices"]):
+            entries = f"{ledger}/done/model={key}-slice={number}"
+            if not commit_numbers(spark, entries):
+                part = f"p-{place_of_model}-{number}-{attempt}"
+                seen = Observation(f"embed-{key}-{number}")
+                wanted = work.filter((F.col("model_key") == key) & (F.col("slice") == number)).select("id", "year", "text")
+                done = embed(wanted, encoders[key], model.dimension, batch_size=batch_size, partitions=partitions)
+                done = done.observe(seen, F.max(F.when(not_started, F.col("error"))).alias("problem"))
+                write_part(done.filter(~not_started).withColumn("model_key", F.lit(key)), root, run, part)
+                if seen.get["problem"]:
+                    stopped[key] = seen.get["problem"]
+                    break
+                # Of two attempts at once the first entry counts.
+                commit_json(spark, entries, 0, {"part": part})
+            parts.append(read_json(spark, commit_file(entries, 0))["part"])
+    publish(spark, root, run, parts)
+    written = read_runs(spark, root, [run])
+    return TaskRun(written, task_status(stored, written, ready, stopped, root, nan_failed))
+
+
+def _land_work(papers: DataFrame, tasks: DataFrame, ledger: str, attempt: int, slices: int) -> None:
+    """Write tasks, and once per task its paper's text, cut by model and slice; one entry makes both count."""
+    spark = papers.sparkSession
+    named = {"tasks": f"tasks-{attempt}", "texts": f"texts-{attempt}", "slices": slices}
+    tasks.select("id", "year", "model_key").write.mode("overwrite").parquet(f"{ledger}/{named['tasks']}")
+    stored = spark.read.schema(TASK_SCHEMA).parquet(f"{ledger}/{named['tasks']}").distinct()
+    texts = papers.select("id", "year", embed_text().alias("text")).join(stored, ["id", "year"])
+    cut = texts.withColumn("slice", F.pmod(F.xxhash64("id", "year"), F.lit(slices)).cast("int"))
+    cut.write.mode("overwrite").partitionBy("model_key", "slice").parquet(f"{ledger}/{named['texts']}")
+    commit_json(spark, f"{ledger}/work", 0, named)
+
+
 def task_status(
     tasks: DataFrame,
     written: DataFrame,

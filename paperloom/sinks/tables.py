@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from paperloom.operators.status import failure_head, failure_top, task_summary
 from paperloom.schema import VECTOR_SCHEMA
 from paperloom.session import drop_scratch, shared_dir
+from paperloom.vector_runs import append_run, is_runs
 from paperloom.versions import Parts, Snapshot, is_versioned, replace_parts
 
 # Parts a year is hashed into before adaptive execution evens out their sizes.
@@ -101,8 +102,12 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
 def write_artifacts(vectors: DataFrame, root: str, mode: str = "append") -> None:
     """Write long vector rows below ``model_key`` and ``year`` folders.
 
-    Columns of the vector schema that ``vectors`` lacks are written as null.
+    Columns of the vector schema that ``vectors`` lacks are written as null. In a history
+    of runs the rows are a run of their own, whose place is given by its commit and not by ``seq``.
     """
+    if is_runs(vectors.sparkSession, root):
+        append_run(vectors, root)
+        return
     partitions = ["model_key", "year"]
     columns = [
         (F.col(f.name) if f.name in vectors.columns else F.lit(None).cast(f.dataType)).alias(f.name)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paperloom.functions.text import _col
 from paperloom.operators.years import touched_years
 from paperloom.schema import TASK_SCHEMA, VECTOR_SCHEMA, yearly_schema
+from paperloom.vector_runs import is_runs, live_runs, read_runs
 from paperloom.versions import Parts, Snapshot, is_versioned, read_table, snapshot, touched_parts
 
 # How artifact and task files are named.
@@ -76,13 +77,17 @@ def read_touched(spark: SparkSession, root: str, parts: Parts, state: Snapshot |
 
 def read_vectors(spark: SparkSession, root: str) -> DataFrame:
     """The long vector table at ``root``, without rows if nothing was written there yet."""
+    if is_runs(spark, root):
+        return read_runs(spark, root)
     if not is_table(spark, root):
         return spark.createDataFrame([], VECTOR_SCHEMA)
     return spark.read.schema(VECTOR_SCHEMA).parquet(root)
 
 
 def next_seq(spark: SparkSession, root: str) -> int:
-    """The next free place in the vector history at ``root``."""
+    """The next free place in the vector history at ``root``; a history of runs gives places itself."""
+    if is_runs(spark, root):
+        return live_runs(spark, root)[0] + 1
     newest = read_vectors(spark, root).agg(F.max("seq")).first()[0]
     return 0 if newest is None else newest + 1
 

@@ -19,13 +19,14 @@ system must rename atomically without replacing, as HDFS does.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
+from paperloom.files import ConcurrentChange, commit_file, commit_json, commit_numbers, names_in, read_json, remove, write_json
+
 #: For each year the buckets that are meant; None stands for all of them.
 Parts = Mapping[int, frozenset[int] | None]
 
@@ -33,10 +34,6 @@ BUCKETS = 64
 _VERSION, _BUCKET = "part_version", "part_bucket"
 
 
-class ConcurrentChange(RuntimeError):
-    """Another writer replaced parts that this one has read."""
-
-
 @dataclass(frozen=True)
 class Snapshot:
     """One commit: its number, the table's schema and bucket count, and each year's manifest."""
@@ -52,62 +49,9 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    fs = _fs(spark, folder)
-    if not fs.exists(_path(spark, folder)):
-        return []
-    return sorted(f.getPath().getName() for f in fs.listStatus(_path(spark, folder)))
-
-
-def _read_json(spark: SparkSession, path: str):
-    stream = _fs(spark, path).open(_path(spark, path))
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def _write_json(spark: SparkSession, path: str, value) -> None:
-    stream = _fs(spark, path).create(_path(spark, path), False)
-    try:
-        stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
-    finally:
-        stream.close()
-
-
-def _put(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a file unless the target exists; tells whether it did."""
-    jvm = spark._jvm
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(_path(spark, target).toUri(), spark._jsc.hadoopConfiguration())
-    if context.util().exists(_path(spark, target)):
-        return False
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.NONE
-    try:
-        context.rename(_path(spark, source), _path(spark, target), options)
-    except Exception as error:
-        if "FileAlreadyExists" in str(error):
-            return False
-        raise
-    return True
-
-
-def _commit_file(root: str, number: int) -> str:
-    return f"{root}/commits/{number:012d}.json"
-
-
 def commits(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the commits that still exist, oldest first."""
-    return [int(n[:-5]) for n in _names(spark, f"{root}/commits") if n.endswith(".json") and not n.startswith("_")]
+    return commit_numbers(spark, f"{root}/commits")
 
 
 def is_versioned(spark: SparkSession, root: str) -> bool:
@@ -122,7 +66,7 @@ def snapshot(spark: SparkSession, root: str, number: int | None = None) -> Snaps
         if not numbers:
             raise ValueError(f"{root} is not a versioned table")
         number = numbers[-1]
-    said = _read_json(spark, _commit_file(root, number))
+    said = read_json(spark, commit_file(f"{root}/commits", number))
     years = {int(y): name for y, name in said["years"].items()}
     return Snapshot(number, T.StructType.fromJson(said["schema"]), said["buckets"], years)
 
@@ -133,7 +77,7 @@ def live_parts(spark: SparkSession, root: str, at: Snapshot, parts: Parts | None
     for year, name in at.years.items():
         if parts is None or year in parts:
             wanted = None if parts is None else parts[year]
-            for bucket, version in _read_json(spark, f"{root}/manifests/{name}").items():
+            for bucket, version in read_json(spark, f"{root}/manifests/{name}").items():
                 if wanted is None or int(bucket) in wanted:
                     out[year, int(bucket)] = version
     return out
@@ -147,18 +91,13 @@ def create_table(spark: SparkSession, root: str, schema: T.StructType, buckets:
     """
     if buckets < 1 or not {"id", "year"} <= set(schema.fieldNames()):
         raise ValueError("a versioned table needs columns id and year and at least one bucket")
-    if not _commit(spark, root, Snapshot(0, schema, buckets, {})):
+    if is_versioned(spark, root) or not _commit(spark, root, Snapshot(0, schema, buckets, {})):
         raise ValueError(f"{root} is a versioned table already")
 
 
 def _commit(spark: SparkSession, root: str, new: Snapshot) -> bool:
-    temporary = f"{root}/commits/_{uuid.uuid4().hex}"
     said = {"schema": new.schema.jsonValue(), "buckets": new.buckets, "years": {str(y): n for y, n in new.years.items()}}
-    _write_json(spark, temporary, said)
-    if _put(spark, temporary, _commit_file(root, new.number)):
-        return True
-    _fs(spark, temporary).delete(_path(spark, temporary), False)
-    return False
+    return commit_json(spark, f"{root}/commits", new.number, said)
 
 
 def read_table(
@@ -211,9 +150,9 @@ def _write_data(df: DataFrame, root: str, buckets: int) -> tuple[str, int]:
 def _written_parts(spark: SparkSession, root: str, version: str) -> list[tuple[int, int]]:
     folder = f"{root}/data/{_VERSION}={version}"
     found = []
-    for year in _names(spark, folder):
+    for year in names_in(spark, folder):
         if year.startswith("year="):
-            for bucket in _names(spark, f"{folder}/{year}"):
+            for bucket in names_in(spark, f"{folder}/{year}"):
                 if bucket.startswith(f"{_BUCKET}="):
                     found.append((int(year[5:]), int(bucket[len(_BUCKET) + 1 :])))
     return found
@@ -255,7 +194,7 @@ def replace_parts(df: DataFrame, root: str, parts: Parts | None = None, read_at:
                 }
                 kept |= {b: version for y, b in written if y == year}
                 manifests[year] = f"{year}-{version}-{uuid.uuid4().hex[:8]}.json"
-                _write_json(spark, f"{root}/manifests/{manifests[year]}", {str(b): v for b, v in sorted(kept.items())})
+                write_json(spark, f"{root}/manifests/{manifests[year]}", {str(b): v for b, v in sorted(kept.items())})
         years = now.years | manifests
         if _commit(spark, root, Snapshot(now.number + 1, _evolved(now.schema, schema), now.buckets, years)):
             return rows
@@ -276,21 +215,18 @@ def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
         manifests |= set(at.years.values())
         parts |= {(v, y, b) for (y, b), v in live_parts(spark, root, at).items()}
 
-    def remove(path: str) -> None:
-        _fs(spark, path).delete(_path(spark, path), True)
-
     for number in numbers[:-keep]:
-        remove(_commit_file(root, number))
-    for name in set(_names(spark, f"{root}/manifests")) - manifests:
-        remove(f"{root}/manifests/{name}")
+        remove(spark, commit_file(f"{root}/commits", number))
+    for name in set(names_in(spark, f"{root}/manifests")) - manifests:
+        remove(spark, f"{root}/manifests/{name}")
     removed = 0
-    for folder in _names(spark, f"{root}/data"):
+    for folder in names_in(spark, f"{root}/data"):
         version = folder.removeprefix(f"{_VERSION}=")
         dead = [p for p in _written_parts(spark, root, version) if (version, *p) not in parts]
         if len(dead) == len(_written_parts(spark, root, version)):
-            remove(f"{root}/data/{folder}")
+            remove(spark, f"{root}/data/{folder}")
         else:
             for year, bucket in dead:
-                remove(f"{root}/data/{folder}/year={year}/{_BUCKET}={bucket}")
+                remove(spark, f"{root}/data/{folder}/year={year}/{_BUCKET}={bucket}")
         removed += len(dead)
     return removed

@@ -42,6 +42,7 @@ def load_all() -> None:
         splits,
         streams,
         tables_io,
+        vector_history,
         vectors,
         versioned,
     )
