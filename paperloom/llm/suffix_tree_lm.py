@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,12 +68,15 @@ def _names(form: str) -> list[str]:
     return [part.split()[0] for part in form.split(", ")]
 
 
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Whole numbers, none below -1, in as few bytes as the greatest needs, byte by byte so that zeros compress."""
+    """Whole numbers, none below -1, in as few bytes as the greatest needs, bytes of one rank together and compressed."""
     up = (values.astype(np.int64) + 1).astype(np.uint64)
     most = int(up.max(initial=0))
     width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
-    return bytes([width]) + up.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return bytes([width]) + _COMPRESSOR.compress(up.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
 
 
 def unpack(parts) -> np.ndarray:
@@ -80,7 +84,7 @@ def unpack(parts) -> np.ndarray:
     out = [np.zeros(0, np.int64)]
     for part in parts:
         width = part[0]
-        planes = np.frombuffer(part, np.uint8, offset=1).reshape(width, -1)
+        planes = np.frombuffer(_DECOMPRESSOR.decompress(part[1:]), np.uint8).reshape(width, -1)
         out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64) - 1)
     return np.concatenate(out)
 
@@ -180,13 +184,14 @@ def _pair_totals(depth: int, buckets: int, settings: Settings):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         bucket = int(group["bucket"].iloc[0])
-        at = np.concatenate(([0], np.cumsum([len(x) // 2 for x in group["prior"]])))
+        pieces = [unpack([x]) for x in group["follow"]]
+        at = np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
         sizes = unpack(group["sizes"])
-        state, follow = np.repeat(unpack(group["states"]), sizes), unpack(group["follow"])
+        state, follow = np.repeat(unpack(group["states"]), sizes), np.concatenate(pieces)
         first, place = unique_pairs(state, follow)
         n = np.zeros(len(first), np.int64)
         np.add.at(n, place, unpack(group["learnt"]))
-        prior = np.frombuffer(b"".join(group["prior"]), np.float16)[first].astype(np.float64)
+        prior = unpack(group["prior"]).astype(np.uint16).view(np.float16)[first].astype(np.float64)
         cut = np.repeat(unpack(group["cut"]), sizes)[first].astype(bool)
         often = n >= settings.min_count
         number = np.where(often, (np.cumsum(often) - 1) * buckets + bucket, -1)
@@ -317,7 +322,7 @@ def _walked(depth: int, buckets: int, tokens: int, vocabulary: int, settings: Se
             start = np.flatnonzero(np.diff(states, prepend=-1))
             rows.append((
                 int(pairs["bucket"][x]), int(group["chunk"].iloc[0]), pack(states[start]), pack(np.diff(start, append=y - x)),
-                pack(pairs["cut"][x:y][start]), pack(pairs["follow"][x:y]), pack(pairs["learnt"][x:y]), pairs["prior"][x:y].tobytes(),
+                pack(pairs["cut"][x:y][start]), pack(pairs["follow"][x:y]), pack(pairs["learnt"][x:y]), pack(pairs["prior"][x:y].view(np.uint16)),
             ))
         return pd.DataFrame(rows, columns=_names(_PAIRS))
 
