@@ -20,7 +20,7 @@ from paperloom.operators.status import (
 )
 from paperloom.files import commit_file, commit_json, commit_numbers, read_json
 from paperloom.schema import TASK_SCHEMA, ModelSpec
-from paperloom.session import cut_lineage, shared_dir
+from paperloom.session import cut_lineage, scoped, shared_dir
 from paperloom.sinks.tables import replace_touched, write_artifacts, write_tasks
 from paperloom.sources.tables import next_seq, read_touched, read_vectors, table_state, touched
 from paperloom.vector_runs import is_runs, new_run, publish, read_runs, write_part
@@ -47,6 +47,7 @@ def assign_backlog(
     return split_tasks(tasks, lists, max_per_list, seed, unique)
 
 
+@scoped
 def backlog_and_split(
     papers: DataFrame,
     vectors: DataFrame,
@@ -64,7 +65,8 @@ def backlog_and_split(
     assigned = assign_backlog(papers, vectors, models, lists, max_per_list, seed, retry_nan, unique=True)
     assigned = cut_lineage(assigned, "assigned")
     write_tasks(assigned, output)
-    return split_summary(assigned)
+    summary = split_summary(assigned)
+    return papers.sparkSession.createDataFrame(summary.collect(), summary.schema)  # one row
 
 
 @dataclass(frozen=True)
@@ -235,6 +237,7 @@ def embed_whole(
     done.write.mode("overwrite").option("compression", "zstd").parquet(output)
 
 
+@scoped
 def merge_artifacts(
     spark: SparkSession,
     root: str,

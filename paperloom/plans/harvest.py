@@ -14,7 +14,7 @@ from paperloom.operators.dedup import first_by, latest, without_keys
 from paperloom.operators.upsert import matched
 from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, scoped
 from paperloom.sinks.tables import replace_touched, replace_years, write_snapshot
 from paperloom.sources.oai import harvest_complete, landed_pages, normalize_oai, page_envelope, read_pages
 from paperloom.sources.rss import landed_items, normalize_rss, read_feeds
@@ -83,6 +83,7 @@ def require_complete(records: DataFrame, envelope: DataFrame) -> None:
         raise RuntimeError(f"incomplete harvest: {[tuple(row) for row in broken]}")
 
 
+@scoped
 def harvest_years(
     spark: SparkSession,
     path: str | list[str],
@@ -131,6 +132,7 @@ def _merge_harvest(spark: SparkSession, papers: DataFrame, root: str) -> int:
     return replace_touched(old.unionByName(new), root, parts, state)
 
 
+@scoped
 def harvest_window(
     spark: SparkSession,
     path: str | list[str],
@@ -173,6 +175,7 @@ def parse_feeds(
     return first_by(papers, ("id",), arrival).select(*PAPER_COLUMNS)
 
 
+@scoped
 def harvest_feed(
     spark: SparkSession, path: str | list[str], output: str, cut: str = "version"
 ) -> int:

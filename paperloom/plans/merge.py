@@ -13,9 +13,10 @@ from paperloom.operators.dedup import keep_last, latest, without_keys
 from paperloom.operators.upsert import changed_rows, matched, replaced_keys
 from paperloom.operators.years import split_valid, with_year
 from paperloom.schema import PAPER_COLUMNS, ModelSpec
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, scoped
 from paperloom.sinks.tables import replace_touched, replace_years, write_artifacts
 from paperloom.sources.tables import has_year, is_table, next_seq, read_touched, read_years, table_state, touched
+from paperloom.versions import Parts, Snapshot, is_versioned, joined_parts, read_table
 
 KEYS = ("id", "year")
 
@@ -60,6 +61,7 @@ class UpsertResult:
     rows_invalid: int
 
 
+@scoped
 def upsert_years(
     spark: SparkSession,
     batch: DataFrame,
@@ -73,6 +75,7 @@ def upsert_years(
     fill: str = "null",
     vectors_root: str | None = None,
     seq: int | None = None,
+    move: bool = False,
 ) -> UpsertResult:
     """Assign years to a batch and upsert them into the table at ``root``.
 
@@ -82,9 +85,15 @@ def upsert_years(
     ``quarantine`` if given. With ``vectors_root``, papers whose content
     the batch changes lose their vectors of ``models`` there; ``seq`` is this run's place
     in the vector history, by default the next free one.
+
+    With ``move`` a paper has one year: the last row of its id counts, and its rows in other
+    years go. They are found by the ids alone, in the parts of all years that the batch's
+    ids fall in, so this takes a versioned table.
     """
+    if move and is_table(spark, root) and not is_versioned(spark, root):
+        raise ValueError("papers move between the years of a versioned table only")
     valid, invalid = split_valid(with_year(batch, rule, formats))
-    newest = cut_lineage(keep_last(valid, KEYS, arrival), "upsert-batch")
+    newest = cut_lineage(keep_last(valid, ("id",) if move else KEYS, arrival), "upsert-batch")
     rows_invalid = _set_aside(invalid, quarantine, quarantine_mode) if quarantine else invalid.count()
     state = table_state(spark, root)
     parts = touched(newest, state)
@@ -92,7 +101,13 @@ def upsert_years(
     if not years:
         return UpsertResult([], 0, rows_invalid)
     if is_table(spark, root):
+        moved = _other_years(spark, newest, root, parts, state) if move and state else None
+        if moved is not None:
+            parts = joined_parts(parts, touched(moved, state))
+            years = sorted(parts)
         stored = read_touched(spark, root, parts, state)
+        if moved is not None:
+            stored = without_keys(stored, moved, KEYS)
         if vectors_root and models:
             metadata = stored.select(*[c for c in stored.columns if c not in models])
             changed = replaced_keys(metadata, newest.drop(*models), KEYS)
@@ -105,6 +120,16 @@ def upsert_years(
     return UpsertResult(years, replace_touched(merged, root, parts, state), rows_invalid)
 
 
+def _other_years(spark: SparkSession, newest: DataFrame, root: str, parts: Parts, state: Snapshot) -> DataFrame | None:
+    """Stored ``id, year`` of a batch's papers in years other than the batch's; None if there are none."""
+    buckets = frozenset().union(*parts.values())
+    stored = read_table(spark, root, {y: buckets for y in state.years}, state.number)
+    told = newest.select("id", F.col("year").alias("__year"))
+    found = stored.select("id", "year").join(told, "id").filter(F.col("year") != F.col("__year")).select("id", "year")
+    found = cut_lineage(found.distinct(), "moved")
+    return None if found.isEmpty() else found
+
+
 def _set_aside(invalid: DataFrame, quarantine: str, mode: str) -> int:
     # Counted in the writing stage itself, where a retried task is not counted twice.
     seen = Observation("invalid")
@@ -121,6 +146,7 @@ class MergeResult:
     net_growth: int
 
 
+@scoped
 def merge_increment(
     spark: SparkSession,
     increment: DataFrame,

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +39,7 @@ def _shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="paperloom-", dir="/tmp")
@@ -51,6 +55,45 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_shared_root(spark)}/paperloom/{purpose}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Scratch tables made inside are dropped at the end, also after a failure.
+
+    What leaves the scope must be written elsewhere. Scopes nest: each drops its own tables.
+    """
+    made: list[tuple[SparkSession, str]] = []
+    before = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(before)
+        for spark, path in made:
+            drop_scratch(spark, path)
+
+
+def scoped(job: Callable) -> Callable:
+    """A job whose result is written tables or plain values: its scratch tables go when it ends."""
+
+    @wraps(job)
+    def run(*args, **options):
+        with scratch_scope():
+            return job(*args, **options)
+
+    return run
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh path below the shared folder that the surrounding scope, if any, drops at its end."""
+    path = shared_dir(spark, purpose)
+    made = _scratch.get()
+    if made is not None:
+        made.append((spark, path))
+    return path
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table made below the shared folder, once nothing reads it any more."""
     if not path.startswith(f"{_shared_root(spark)}/paperloom/"):
@@ -63,8 +106,9 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Used where two branches of a plan need the same costly result. The table outlives
-    lost executors, and later scans of it prune columns and push filters down.
+    lost executors, and later scans of it prune columns and push filters down. A
+    ``scratch_scope`` around the call drops it.
     """
-    path = shared_dir(df.sparkSession, purpose)
+    path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from paperloom.operators.status import failure_head, failure_top, task_summary
 from paperloom.schema import VECTOR_SCHEMA
-from paperloom.session import drop_scratch, shared_dir
+from paperloom.session import drop_scratch, scratch_dir
 from paperloom.vector_runs import append_run, is_runs
 from paperloom.versions import Parts, Snapshot, is_versioned, replace_parts
 
@@ -77,7 +77,7 @@ def replace_years(df: DataFrame, root: str, staged: bool = True) -> int:
         return replace_parts(df, root)
     staging = None
     if staged:
-        staging = shared_dir(df.sparkSession, "staging")
+        staging = scratch_dir(df.sparkSession, "staging")
         written = _write_sorted(df, staging)
         if written == 0:
             return 0

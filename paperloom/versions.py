@@ -128,6 +128,15 @@ def touched_parts(batch: DataFrame, buckets: int) -> dict[int, frozenset[int]]:
     return {year: frozenset(numbers) for year, numbers in found.items()}
 
 
+def joined_parts(a: Parts, b: Parts) -> dict[int, frozenset[int] | None]:
+    """Parts in either of two sets."""
+    out = dict(a)
+    for year, buckets in b.items():
+        known = out.get(year, frozenset())
+        out[year] = None if known is None or buckets is None else known | buckets
+    return out
+
+
 def _evolved(stored: T.StructType, new: T.StructType) -> T.StructType:
     """Stored columns, then new ones; a column keeps its type."""
     fields = {f.name: f for f in stored}

@@ -45,4 +45,5 @@ def load_all() -> None:
         vector_history,
         vectors,
         versioned,
+        whole_jobs,
     )
