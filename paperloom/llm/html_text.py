@@ -37,7 +37,9 @@ BOILERPLATE_NAMES = frozenset(
 )
 CONTENT_NAMES = frozenset("article content entry main post story text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# A quote opens a value only after an equals sign; a value without quotes ends at white space.
+_VALUE = r"=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)"
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:{_VALUE}|[^>=])*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -47,12 +49,38 @@ _WHOLE_TAGS = frozenset("html body main article".split())
 _NEAREST = 2  # containers with names that speak against a block
 
 
-def _against(names: frozenset) -> float:
-    """How much a container's names speak for boilerplate: a whole name more than a part, none next to a name of content."""
-    parts = {part for name in names for part in _SPLIT.split(name)}
-    if parts & CONTENT_NAMES:
+# Parts of compound names that tell of form, of what a page has, or of a whole layout.
+_FORM_NAMES = frozenset(
+    "area articles bar block body bottom box col column container group inner item items left links list outer panel posts primary right row secondary "
+    "section thread top tree wrap wrapper".split()
+)
+_STATE_NAMES = frozenset("has with without no is show hide open closed enabled disabled count off on free".split())
+_LAYOUT_NAMES = frozenset("container layout wrap wrapper".split())
+_READER_NAMES = frozenset("comment comments disqus replies reply respond".split())
+_OWN_NAMES = frozenset("header footer banner byline masthead".split())  # an article may have its own
+
+
+def _name_against(name: str) -> float:
+    """How much one name speaks for boilerplate: by what it names last, apart from words of form."""
+    parts = [part for part in _SPLIT.split(name) if part]
+    if not parts or parts[0] in _STATE_NAMES:
         return 0.0
-    return 3.5 if names & BOILERPLATE_NAMES else 0.3 if parts & BOILERPLATE_NAMES else 0.0
+    content = bool(CONTENT_NAMES.intersection(parts))
+    if parts[-1] in _LAYOUT_NAMES and content:
+        return 0.0
+    if _READER_NAMES.intersection(parts) and parts[-1] not in _STATE_NAMES:
+        return 3.5
+    head = next((part for part in reversed(parts) if part not in _FORM_NAMES), parts[-1])
+    if head in BOILERPLATE_NAMES:
+        return 0.0 if content and head in _OWN_NAMES else 3.5
+    return 0.3 if BOILERPLATE_NAMES.intersection(parts) and not content else 0.0
+
+
+def _against(names: frozenset) -> float:
+    """How much a container's names speak for boilerplate; a name of content beside them outweighs all but readers' comments."""
+    most = max(map(_name_against, names), default=0.0)
+    readers = any(_READER_NAMES.intersection(_SPLIT.split(name)) for name in names)
+    return 0.0 if names & CONTENT_NAMES and not readers else most
 
 
 class _Block:
@@ -225,8 +253,8 @@ def minimum_cut(scores: list[int], edges: list[tuple[int, int, int]]) -> list[bo
 def main_text(page: str | None) -> str:
     """The content blocks of a page, one a line."""
     found = blocks(page or "")
-    if not found:
-        return ""
+    if not any(b.path for b in found):  # no markup: all of it is text
+        return "\n".join(b.text for b in found)
     edges, last = [], {}
     for k, block in enumerate(found):
         if k:
