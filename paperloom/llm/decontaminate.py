@@ -3,9 +3,10 @@
 An item with an error budget of ``e`` edits is split into ``e + 1`` pieces: whatever the
 edits, one piece stays whole. An automaton finds all pieces in one pass over each text,
 and around each hit Myers' bit-parallel algorithm computes the least edit distance
-between the item and any part of the text. Items of few characters, which would be met by
-chance inside words, are looked for as they are and between word boundaries. Items go to the tasks in blocks of bounded
-size; a larger benchmark means more blocks, each against all documents.
+between the item and any part of the text. Items so short that their budget is no edit at
+all would be met by chance inside words; they match between word boundaries. Items go to
+the tasks in blocks of bounded size; a larger benchmark means more blocks, each a pass
+over all documents whose result is written before the next block is read.
 """
 
 from __future__ import annotations
@@ -18,15 +19,15 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from paperloom.llm.exact_dedup import names_every_row, numbered_rows
+from paperloom.session import cut_lineage
 
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.08
 #: Characters of items in one block: what is sent to the tasks at once.
 BLOCK_CHARS = 4_000_000
-#: An item of fewer characters matches without edits only, and as whole words.
-SHORT_CHARS = 20
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -82,11 +83,11 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items, places = [], {}
         for item_id, text in items:
-            if len(text) < SHORT_CHARS:
+            errors = int(len(text) * rate)
+            if not errors:
                 places.setdefault(text, []).append((len(self.items), 0))
                 self.items.append((item_id, text, 0, None))
                 continue
-            errors = int(len(text) * rate)
             masks: dict[str, int] = {}
             for k, letter in enumerate(text):
                 masks[letter] = masks.get(letter, 0) | (1 << k)
@@ -130,7 +131,7 @@ class Matcher:
                 yield item_id, best
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     block, size = [], 0
     items = benchmark.select("item_id", "text").filter("text is not null").distinct().orderBy("item_id", "text")
     for row in items.toLocalIterator():
@@ -139,28 +140,29 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
             continue
         block.append((row["item_id"], text))
         size += len(text)
-        if size >= BLOCK_CHARS:
+        if size >= block_chars:
             yield block
             block, size = [], 0
     if block:
         yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, distance`` for each document that holds an item with at most ``rate`` edits a character.
 
     Both sides are compared in lower case with single spaces. ``distance`` is the least
-    over the whole text. Items under ``SHORT_CHARS`` characters match without edits and
-    as whole words. Null or empty texts and items match nothing. Repeated rows repeat in the result; equal items under
-    different ids each match. Without documents or items there are no rows.
+    over the whole text. Items whose budget is no edit match as whole words. Null or empty
+    texts and items match nothing, items without id match under a null id. Repeated rows
+    repeat in the result; equal items under different ids each match. Without documents or
+    items there are no rows. Other columns are ignored, and ids may have any simple type.
     """
     source = docs.select("doc_id", "text").filter("text is not null")
     kinds = {f.name: f.dataType.simpleString() for f in source.schema.fields}
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds['doc_id']}, item_id {item_kind}, distance int"
-    result = None
-    for block in _blocks(benchmark):
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
 
+    def search(block):
         def searched(batches, block=block):
             matcher = Matcher(block, rate)
             for batch in batches:
@@ -171,14 +173,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE)
                         items.append(item_id)
                         distances.append(distance)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, batch.schema.field("doc_id").type), pa.array(items), pa.array(distances, pa.int32())]
-                    if ids else [pa.array([], batch.schema.field("doc_id").type), pa.array([], pa.int64()), pa.array([], pa.int32())],
+                    [pa.array(ids, batch.schema.field("doc_id").type), pa.array(items, item_type), pa.array(distances, pa.int32())],
                     ["doc_id", "item_id", "distance"],
                 )
 
-        part = source.mapInArrow(searched, schema)
-        result = part if result is None else result.unionByName(part)
-    return result if result is not None else docs.sparkSession.createDataFrame([], schema)
+        return source.mapInArrow(searched, schema)
+
+    result = last = None
+    for block in _blocks(benchmark, block_chars):
+        if last is not None:  # a block before the last: its result is written, so that no plan holds two blocks
+            part = cut_lineage(search(last), "leaks")
+            result = part if result is None else result.unionByName(part)
+        last = block
+    if last is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    return search(last) if result is None else result.unionByName(search(last))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -187,5 +196,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         leaks = find_leaks(docs, benchmark).select("doc_id").distinct()
         return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
     rows = numbered_rows(docs)
-    leaks = find_leaks(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(leaks, "_row", "left_anti").select(docs.columns)
+    leaks = find_leaks(rows.select(F.col("__paperloom_row").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__paperloom_row")).distinct()
+    return rows.join(leaks, "__paperloom_row", "left_anti").select(docs.columns)

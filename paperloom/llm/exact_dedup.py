@@ -114,18 +114,18 @@ def exact_groups(docs: DataFrame, digest: Column | None = None) -> DataFrame:
     since hits are compared in full.
     """
     source = docs.select("doc_id", "text")
-    source = source.withColumn("_row", F.lit(0)) if names_every_row(source) else numbered_rows(source)
+    source = source.withColumn("__paperloom_row", F.lit(0)) if names_every_row(source) else numbered_rows(source)
     return _groups(source, digest).drop("locator")
 
 
 def _groups(source: DataFrame, digest: Column | None = None) -> DataFrame:
-    """``exact_groups`` of ``doc_id, text, _row``, each row with its ``locator``."""
+    """``exact_groups`` of ``doc_id, text, __paperloom_row``, each row with its ``locator``."""
     spark = source.sparkSession
     key = sha256_text(F.col("text")) if digest is None else digest.cast("string")
     # The locator orders as doc_id does and is its own row's: repeated rows get different ones.
     source = source.select(
         "doc_id", "text",
-        F.struct(F.col("doc_id").alias("doc_id"), F.col("_row").alias("copy")).alias("locator"),
+        F.struct(F.col("doc_id").alias("doc_id"), F.col("__paperloom_row").alias("copy")).alias("locator"),
     )
     rows = cut_lineage(
         source.select(
@@ -176,8 +176,8 @@ def names_every_row(source: DataFrame) -> bool:
 
 
 def numbered_rows(source: DataFrame) -> DataFrame:
-    """Rows with a number ``_row`` that tells repeated and missing ids apart, fixed by writing them once."""
-    return cut_lineage(source.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    """Rows with a number ``__paperloom_row`` that tells repeated and missing ids apart, fixed by writing them once."""
+    return cut_lineage(source.withColumn("__paperloom_row", F.monotonically_increasing_id()), "numbered")
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
@@ -186,8 +186,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     A row without ``doc_id`` stays if its text has no row with one, and is then the only one.
     """
     if names_every_row(docs):
-        kept = _groups(docs.select("doc_id", "text", F.lit(0).alias("_row"))).filter("kept").select("doc_id")
+        kept = _groups(docs.select("doc_id", "text", F.lit(0).alias("__paperloom_row"))).filter("kept").select("doc_id")
         return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
     rows = numbered_rows(docs)
-    kept = _groups(rows.select("doc_id", "text", "_row")).filter("kept").select(F.col("locator.copy").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    kept = _groups(rows.select("doc_id", "text", "__paperloom_row")).filter("kept").select(F.col("locator.copy").alias("__paperloom_row"))
+    return rows.join(kept, "__paperloom_row", "left_semi").select(docs.columns)

@@ -125,21 +125,21 @@ def _decode(model: LanguageModel, margins: np.ndarray) -> np.ndarray:
     return score / score.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and ``lang_pred, score, ambiguous`` for each row of ``docs``.
+def predict(docs: DataFrame, model: LanguageModel, keep: list[str], names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """Columns ``keep`` and ``lang_pred, score, ambiguous``, or other ``names``, for each row of ``docs``.
 
     ``lang_pred`` is ``und`` (score 0) for a null text, a text without a letter, or a
     model without languages. The whole text counts. Equal losses go to the language
     that sorts first and are flagged ambiguous. An empty table gives no rows.
     """
     weights = model.weights.astype(np.float32)
-    source = docs.select(*keep, F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    source = docs.select(*keep, F.col("text").alias("__paperloom_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__paperloom_letters"))
 
     def decoded(batches):
         for batch in batches:
-            data, starts = text_bytes(batch.column("_text"))
-            letters = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
-            names, scores, near = [], [], []
+            data, starts = text_bytes(batch.column("__paperloom_text"))
+            letters = batch.column("__paperloom_letters").to_numpy(zero_copy_only=False).astype(bool)
+            found, scores, near = [], [], []
             for a, b in chunks(starts):
                 features, owner = _grams(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a])
                 n = np.maximum(np.bincount(owner, minlength=b - a), 1)
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
                 for bit in range(weights.shape[1]):
                     margins[:, bit] = np.bincount(owner, weights[features, bit], minlength=b - a) / n - model.bias[bit]
                 if not model.languages:
-                    names += [UNKNOWN] * (b - a)
+                    found += [UNKNOWN] * (b - a)
                     scores += [0.0] * (b - a)
                     near += [False] * (b - a)
                     continue
@@ -156,17 +156,17 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
                 top = share[np.arange(b - a), best]
                 second = np.partition(share, -2, axis=1)[:, -2] if share.shape[1] > 1 else np.zeros(b - a)
                 known = letters[a:b]
-                names += [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
+                found += [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
                 scores += np.where(known, top, 0.0).tolist()
                 near += (known & (top - second < NEAR_TIE)).tolist()
             kept = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(near, pa.bool_())],
-                [*keep, "lang_pred", "score", "ambiguous"],
+                [*kept, pa.array(found, pa.string()), pa.array(scores, pa.float64()), pa.array(near, pa.bool_())],
+                [*keep, *names],
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields)
-    return source.mapInArrow(decoded, f"{fields}, lang_pred string, score double, ambiguous boolean")
+    return source.mapInArrow(decoded, f"{fields}, {names[0]} string, {names[1]} double, {names[2]} boolean")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -181,11 +181,10 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: no null text, none without letters, no near tie."""
-    names = docs.columns
-    marked = docs.withColumn("held_out", held_out()) if "held_out" not in names else docs
-    model = fit(docs.filter(~held_out()))
-    found = predict(marked.select(*names), model, names) if not {"lang_pred", "score", "ambiguous"} & set(names) else None
-    if found is None:
-        raise ValueError("columns lang_pred, score and ambiguous are this operator's own")
-    return found.filter(f"lang_pred <> '{UNKNOWN}' and not ambiguous").select(*names)
+    """The rows of ``docs`` whose language can be told: no null text, none without letters, no near tie.
+
+    All columns pass, whatever their names; only those that begin with ``__paperloom_`` are reserved.
+    """
+    own = ("__paperloom_lang", "__paperloom_score", "__paperloom_ambiguous")
+    found = predict(docs, fit(docs.filter(~held_out())), docs.columns, own)
+    return found.filter(f"{own[0]} <> '{UNKNOWN}' and not {own[2]}").select(*docs.columns)

@@ -274,8 +274,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     if names_every_row(source.filter("doc_id is not null")):
         return _labelled(source, percent)
     rows = numbered_rows(source)
-    found = cut_lineage(_labelled(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("doc_id"), "text"), percent), "labels")
-    named = found.withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row")
+    found = cut_lineage(_labelled(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("__paperloom_row")).alias("doc_id"), "text"), percent), "labels")
+    named = found.withColumnRenamed("doc_id", "__paperloom_row").join(rows.select("__paperloom_row", "doc_id"), "__paperloom_row")
     least = named.groupBy("component_id").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id")).unionByName(
         found.filter("doc_id is null")
@@ -334,10 +334,10 @@ def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     Rows are judged one by one: rows without ``doc_id`` link as others do and lose against them.
     """
     if names_every_row(docs):
-        others = _labelled(docs, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy"))
-        return docs.join(others, F.col("doc_id") == F.col("_copy"), "left_anti")
+        others = _labelled(docs, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("__paperloom_copy"))
+        return docs.join(others, F.col("doc_id") == F.col("__paperloom_copy"), "left_anti")
     rows = numbered_rows(docs)
-    found = _labelled(rows.select(F.col("_row").alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_row")
-    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("first")).select("first._row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    found = _labelled(rows.select(F.col("__paperloom_row").alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("__paperloom_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__paperloom_row")
+    kept = found.join(rows.select("__paperloom_row", "doc_id"), "__paperloom_row").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__paperloom_row")
+    return rows.join(kept, "__paperloom_row", "left_semi").select(docs.columns)
