@@ -77,16 +77,27 @@ def overlay(
     on: Sequence[str] = KEYS,
     ignore_nan: bool = False,
     skip_null: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Apply all artifacts ``(id, year, model_key, vector, seq)`` in one left join.
 
     Equal to updating or adding one model column per artifact in ``seq`` order. With
-    ``skip_null=False`` a newest row without vector clears the column.
+    ``skip_null=False`` a newest row without vector clears the column. ``unique`` promises
+    one artifact per paper and model, such as ``newest_rows`` gives: then vectors are not
+    aggregated, and each model is one join on the partitioning the papers have already.
     """
-    latest = collapse(artifacts, keys, on, ignore_nan, skip_null)
-    flags = [] if skip_null else [F.col(f"`{_HAS}{k}`") for k in keys]
-    latest = latest.select(*on, *[F.col(f"`{k}`").alias(f"__new_{k}") for k in keys], *flags)
-    joined = papers.join(latest, list(on), "left")
+    if unique:
+        joined = papers
+        for key in keys:
+            mine = artifacts.filter(F.col("model_key") == key)
+            if ignore_nan:
+                mine = mine.filter(~_is_nan(F.col("vector")))
+            joined = joined.join(mine.select(*on, F.col("vector").alias(f"__new_{key}"), F.lit(True).alias(f"{_HAS}{key}")), list(on), "left")
+    else:
+        latest = collapse(artifacts, keys, on, ignore_nan, skip_null)
+        flags = [] if skip_null else [F.col(f"`{_HAS}{k}`") for k in keys]
+        latest = latest.select(*on, *[F.col(f"`{k}`").alias(f"__new_{k}") for k in keys], *flags)
+        joined = papers.join(latest, list(on), "left")
 
     def value(key: str) -> Column:
         new = F.col(f"`__new_{key}`")

@@ -1,6 +1,6 @@
 """User-level jobs, composed from sources, operators and sinks."""
 
-from paperloom.plans.embedding import backlog_and_split, embed_whole, merge_artifacts, run_ledgered, run_tasks
+from paperloom.plans.embedding import backlog_and_split, embed_whole, merge_artifacts, merge_history, run_ledgered, run_tasks
 from paperloom.plans.harvest import harvest_feed, harvest_window, harvest_years
 from paperloom.plans.merge import merge_increment, upsert_years
 
@@ -11,6 +11,7 @@ __all__ = [
     "harvest_window",
     "harvest_years",
     "merge_artifacts",
+    "merge_history",
     "merge_increment",
     "run_ledgered",
     "run_tasks",

@@ -23,7 +23,7 @@ from paperloom.schema import TASK_SCHEMA, ModelSpec
 from paperloom.session import cut_lineage, scoped, shared_dir
 from paperloom.sinks.tables import replace_touched, write_artifacts, write_tasks
 from paperloom.sources.tables import next_seq, read_touched, read_vectors, table_state, touched
-from paperloom.vector_runs import is_runs, new_run, publish, read_runs, write_part
+from paperloom.vector_runs import is_runs, new_run, newest_rows, publish, read_runs, write_part
 
 # Fixed value: number of work lists.
 LISTS = 10
@@ -244,16 +244,29 @@ def merge_artifacts(
     artifacts: DataFrame,
     model_keys: Sequence[str],
     ignore_nan: bool = False,
+    unique: bool = False,
 ) -> int:
     """Overlay long artifacts onto the wide yearly table. Returns the rows rewritten.
 
     A newest row without vector, as forgotten papers have, clears the column. Only years
     that have artifacts are read and replaced, of a versioned table only their parts.
+    ``unique`` promises one artifact per paper and model.
     """
     state = table_state(spark, root)
     parts = touched(artifacts, state)
     if not parts:
         return 0
     papers = read_touched(spark, root, parts, state)
-    merged = overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan, skip_null=False)
+    merged = overlay(papers, artifacts, model_keys, ignore_nan=ignore_nan, skip_null=False, unique=unique)
     return replace_touched(merged, root, parts, state)
+
+
+def merge_history(spark: SparkSession, root: str, vectors_root: str, model_keys: Sequence[str], ignore_nan: bool = False) -> int:
+    """Overlay the newest vectors of a history of runs onto the wide yearly table. Returns the rows rewritten.
+
+    The newest row of each paper and model is chosen by its keys and place alone; only the
+    vectors of those rows are fetched and joined. With ``ignore_nan`` a newest vector of
+    NaNs leaves the stored one as it is.
+    """
+    newest = newest_rows(spark, vectors_root).filter(F.col("model_key").isin(list(model_keys)))
+    return merge_artifacts(spark, root, newest, model_keys, ignore_nan, unique=True)

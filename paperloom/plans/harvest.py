@@ -180,5 +180,5 @@ def harvest_feed(
     spark: SparkSession, path: str | list[str], output: str, cut: str = "version"
 ) -> int:
     """Build the current snapshot from landed feeds. Returns its rows; none writes nothing."""
-    return write_snapshot(parse_feeds(spark, path, cut), output, on_empty="skip")
+    return write_snapshot(cut_lineage(parse_feeds(spark, path, cut), "feed"), output, on_empty="skip")
 

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from paperloom.operators.backlog import backlog
 from paperloom.operators.embed import hash_encoder
-from paperloom.plans import run_ledgered
+from paperloom.plans import merge_history, run_ledgered
 from paperloom.session import shared_dir
-from paperloom.sources.tables import read_vectors
+from paperloom.sinks.tables import replace_years
+from paperloom.sources.tables import read_vectors, read_years
 from paperloom.vector_runs import append_run, compact, create_runs, live_runs, newest_rows
+from paperloom.versions import create_table
 from queries import query
 from queries.derived import DIM, MODELS, PAPER_TABLE, VECTOR_TABLE, paper_table, vector_table, with_papers
 from queries.joins_reports import run_log
@@ -51,6 +53,24 @@ def k4_compacted(spark, sf_dir):
     return _totals(read_vectors(spark, root))
 
 
+@query(
+    "x8_merge_history",
+    with_papers(
+        f"select p.id, p.year, p.seq, {sql_finite_sum('v.vector')} as total from paper_table p "
+        "left join vector_newest v on v.id = p.id and v.year = p.year",
+        PAPER_TABLE, VECTOR_TABLE,
+    ),
+)
+def x8_merge_history(spark, sf_dir):
+    """The newest vectors of a history overlaid on a versioned table."""
+    root, vectors_root = shared_dir(spark, "q-history-table"), _history(spark, sf_dir)
+    rows = paper_table(spark, sf_dir).select("id", "year", "seq")
+    create_table(spark, root, rows.schema, 8)
+    replace_years(rows, root)
+    merge_history(spark, root, vectors_root, ["m1", "m2"])
+    return read_years(spark, root).select("id", "year", "seq", finite_sum("m1").alias("total"))
+
+
 @query("p20_compacted_backlog", _sql_backlog(False))
 def p20_compacted_backlog(spark, sf_dir):
     root = _history(spark, sf_dir)

@@ -6,7 +6,7 @@ import paperloom.plans.embedding as embedding
 import pytest
 from paperloom.operators.backlog import backlog
 from paperloom.operators.embed import hash_encoder
-from paperloom.operators.overlay import wide_view
+from paperloom.operators.overlay import overlay, wide_view
 from paperloom.plans import merge_increment, run_ledgered, run_tasks
 from paperloom.schema import ModelSpec
 from paperloom.sinks.tables import write_artifacts, write_years
@@ -174,3 +174,15 @@ def test_a_history_of_runs_serves_the_other_jobs(spark, root, folder):
     merge_increment(spark, changed, table, 2024, vectors_root=root, models=MODELS)
     assert {(r.id, r.model_key) for r in backlog(read_years(spark, table), read_vectors(spark, root), MODELS).collect()} == {("p1", "m1"), ("p1", "m2")}
     assert read_runs(spark, root, []).count() == 0
+
+
+def test_newest_vectors_are_joined_without_being_aggregated(spark, root):
+    papers = _papers(spark, 6)
+    append_run(_vectors(spark, [(f"p{k}", [float(k)]) for k in range(5)]), root)
+    append_run(_vectors(spark, [("p1", [9.0]), ("p2", None), ("p3", [float("nan")]), ("other", [1.0])]), root)
+    stored = papers.withColumn("m1", F.array(F.lit(7.0).cast("float")))
+    slow = overlay(stored, read_vectors(spark, root), ["m1", "m2"], skip_null=False)
+    fast = overlay(stored, newest_rows(spark, root), ["m1", "m2"], skip_null=False, unique=True)
+    assert sorted(map(str, slow.collect())) == sorted(map(str, fast.collect()))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert not any("vector#" in x for x in plan.splitlines() if "Aggregate" in x)
