@@ -82,14 +82,17 @@ def matched(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order:
 
 
 def changed_rows(stored: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a keyed batch that are new, or differ from the stored row in a column both sides have.
+    """Rows of a keyed batch that are new, or differ from the stored row in a column of the batch.
 
-    A row that only repeats the stored one is left out, so that what is stored beside it,
-    such as vectors the batch does not carry, stays.
+    A column that is not stored counts as null there. A row that only repeats the stored
+    one is left out, so that what is stored beside it, such as vectors the batch does not
+    carry, stays.
     """
     shared = [c for c in newest.columns if c in stored.columns and c not in keys]
+    added = [c for c in newest.columns if c not in stored.columns]
     old = stored.select(*keys, *[F.col(f"`{c}`").alias(f"__old_{c}") for c in shared], F.lit(True).alias("__stored"))
     same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__old_{c}`")) for c in shared], F.col("__stored").isNotNull())
+    same = reduce(and_, [F.col(f"`{c}`").isNull() for c in added], same)
     return newest.join(old, list(keys), "left").filter(~same).select(*[F.col(f"`{c}`") for c in newest.columns])
 
 
