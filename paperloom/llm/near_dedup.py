@@ -33,14 +33,14 @@ from pyspark.sql import functions as F
 from paperloom.llm.arrays import chunks, mix, shingles, text_bytes, word_hashes
 from paperloom.llm.components import components
 from paperloom.llm.exact_dedup import names_every_row, numbered_rows
-from paperloom.session import cut_lineage
+from paperloom.session import cut_lineage, drop_scratch, shared_dir
 
 #: A shingle in more documents than this is frequent.
 FREQUENT = 50
 #: A shingle in so many documents of one chunk is sent once for all of them.
 REPEATED = 8
 #: Rounds in which documents meet the most typical one of a key, before components meet each other.
-HUB_ROUNDS = 1
+HUB_ROUNDS = 2
 #: Bytes of packed shingles that one bucket gets, about.
 BUCKET_BYTES = 4 << 20
 _HASH_BITS = 52
@@ -246,12 +246,19 @@ def _possible_structs(percent: int):
     return 100 * most >= percent * (F.col("one.n") + F.col("two.n") - most)
 
 
-def _torn(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows of keys that still hold several components, with their present labels."""
+def _written(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Rows written to the shared folder, and where."""
+    path = shared_dir(rows.sparkSession, "postings")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def _torn(rows: DataFrame, label: DataFrame) -> tuple[DataFrame, str]:
+    """Rows of keys that still hold several components, with their present labels, and where they are written."""
     rows = rows.select("key", "one", F.col("one.rep").alias("rep")).join(label, "rep", "left")
     rows = rows.select("key", "one", F.coalesce("label", "rep").alias("label"))
     torn = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
-    return cut_lineage(rows.join(torn, "key"), "postings")
+    return _written(rows.join(torn, "key"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -303,7 +310,7 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
         F.col("n_shingles").alias("n"), F.col("n_shared").alias("s"), F.col("n_frequent").alias("f"),
     ).select("key", one)
     several = postings.groupBy("key").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("key")
-    rows = cut_lineage(postings.join(several, "key").select("key", "one", F.col("one.rep").alias("label")), "postings")
+    rows, path = _written(postings.join(several, "key").select("key", "one", F.col("one.rep").alias("label")))
     checked = label = None
     for _ in range(HUB_ROUNDS):
         # The most typical document of each component in a key meets the key's other components.
@@ -314,7 +321,8 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
         found = _verified(pairs, sets, percent)
         checked = cut_lineage(found if checked is None else checked.unionByName(found), "links")
         label = components(checked.filter("linked")).withColumnRenamed("node", "rep")
-        rows = _torn(rows, label)
+        (rows, path), before = _torn(rows, label), path
+        drop_scratch(rows.sparkSession, before)  # nothing reads the keys of before any more
     # What one key's documents still have to settle: those in different components.
     left, right = rows.select("key", "one", "label"), rows.select(F.col("key").alias("key_b"), F.col("one").alias("two"), F.col("label").alias("label_b"))
     met = left.join(right, (F.col("key") == F.col("key_b")) & (F.col("one.rep") < F.col("two.rep")) & (F.col("label") != F.col("label_b")) & _possible_structs(percent))
