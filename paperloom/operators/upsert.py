@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.operators.dedup import latest, row_hash
 
@@ -71,6 +71,19 @@ def matched(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order:
     the greater ``order`` wins, and at equal values the increment. ``nulls`` says
     whether a missing value is the least (``last``) or the greatest (``first``).
     """
+    old, wins = _compared(stored, increment, keys, order, nulls)
+    return increment.join(old, list(keys)).select(*[F.col(f"`{c}`") for c in increment.columns], wins.alias("__wins"))
+
+
+def winning(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order: str, nulls: str = "last") -> DataFrame:
+    """Rows of a keyed increment that are new, or replace the stored row by the rule of ``matched``."""
+    old, wins = _compared(stored, increment, keys, order, nulls)
+    met = increment.join(old.withColumn("__stored", F.lit(True)), list(keys), "left")
+    return met.filter(F.col("__stored").isNull() | wins).select(*[F.col(f"`{c}`") for c in increment.columns])
+
+
+def _compared(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order: str, nulls: str) -> tuple[DataFrame, Column]:
+    """Stored rows under other names, and whether the row of the increment joined to one replaces it."""
     shared = [c for c in increment.columns if c in stored.columns and c not in keys]
     old = stored.select(*keys, *[F.col(f"`{c}`").alias(f"__old_{c}") for c in shared])
     same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__old_{c}`")) for c in shared], F.lit(True))
@@ -78,7 +91,7 @@ def matched(stored: DataFrame, increment: DataFrame, keys: Sequence[str], order:
     old_value = F.col(f"`__old_{order}`") if order in shared else F.lit(None).cast(increment.schema[order].dataType)
     least = old_value.isNull() if nulls == "last" else new_value.isNull()
     later = least | F.coalesce(new_value >= old_value, F.lit(False))
-    return increment.join(old, list(keys)).select(*[F.col(f"`{c}`") for c in increment.columns], (~same & later).alias("__wins"))
+    return old, ~same & later
 
 
 def changed_rows(stored: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from paperloom.functions.dates import WINDOW_DAYS, request_window, within, year_
 from paperloom.functions.text import in_categories
 from paperloom.operators.align import united
 from paperloom.operators.dedup import first_by, latest, without_keys
-from paperloom.operators.upsert import matched
+from paperloom.operators.upsert import winning
 from paperloom.operators.years import BOTH_FORMATS
 from paperloom.schema import PAPER_COLUMNS
 from paperloom.session import cut_lineage, scoped
@@ -62,14 +62,20 @@ def parse_pages(
     applied again here. Requests select by the record's datestamp, and so do the window
     and the ``year`` column; a record without one is kept and gets ``year``.
     """
+    return latest(_asked(records, window, categories, year), keys).select(*PAPER_COLUMNS, "year")
+
+
+def _asked(
+    records: DataFrame, window: tuple[dt.date, dt.date] | None, categories: Sequence[str], year: int | None
+) -> DataFrame:
+    """Valid records of a window and categories, all versions, with their year."""
     stamp = F.col("datestamp")
     papers = records.filter(F.col("id").isNotNull())
     if categories:
         papers = papers.filter(in_categories("categories", list(categories)))
     if window:
         papers = papers.filter(stamp.isNull() | within(stamp, window))
-    dated = papers.withColumn("year", F.coalesce(year_of(stamp, BOTH_FORMATS), F.lit(year).cast("int")))
-    return latest(dated, keys).select(*PAPER_COLUMNS, "year")
+    return papers.withColumn("year", F.coalesce(year_of(stamp, BOTH_FORMATS), F.lit(year).cast("int")))
 
 
 def require_complete(records: DataFrame, envelope: DataFrame) -> None:
@@ -109,23 +115,24 @@ def harvest_years(
     papers = parse_pages(records, window, categories, only)
     papers = papers.filter(F.col("year").isin(list(years)))
     if mode == "merge" and is_table(spark, root):
-        return _merge_harvest(spark, cut_lineage(papers, "harvested"), root)
+        found = _asked(records, window, categories, only).filter(F.col("year").isin(list(years))).select("id", "year")
+        return _merge_harvest(spark, papers, found, root)
     return replace_years(papers, root)
 
 
-def _merge_harvest(spark: SparkSession, papers: DataFrame, root: str) -> int:
+def _merge_harvest(spark: SparkSession, papers: DataFrame, found: DataFrame, root: str) -> int:
     """Put harvested papers that are new or later than the stored ones into the table. Returns rows written.
 
     Every stored column stays, model columns too; a paper that is harvested as it is stored
-    keeps its row, and with it its vectors. Without a change nothing is written.
+    keeps its row, and with it its vectors. Without a change nothing is written. ``found``
+    has the ``id`` and ``year`` of the papers, maybe more than once.
     """
     keys, state = ("id", "year"), table_state(spark, root)
-    parts = touched(papers, state)
+    parts = touched(found, state)
     if not parts:
         return 0
     stored = read_touched(spark, root, parts, state)
-    met = cut_lineage(matched(stored, papers, keys, "updated"), "matched")
-    winners = met.filter("__wins").drop("__wins").unionByName(without_keys(papers, met, keys))
+    winners = cut_lineage(winning(stored, papers, keys, "updated"), "winners")
     if winners.isEmpty():
         return 0
     old, new = united(without_keys(stored, winners, keys), winners)
