@@ -22,6 +22,8 @@ RECORD_SCHEMA = (
 TOKEN_SCHEMA = "_VALUE string, _completeListSize string"
 ERROR_SCHEMA = "_VALUE string, _code string"
 NO_RECORDS = "noRecordsMatch"
+# Fixed value: names of files that Spark decompresses by their ending.
+COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
 _RECORD = f"struct<{RECORD_SCHEMA.removesuffix(', _corrupt_record string')}>"
 _LIST = f"record array<{_RECORD}>, resumptionToken struct<{TOKEN_SCHEMA}>, error array<struct<{ERROR_SCHEMA}>>"
 # A page's root is the response, or the list by itself.
@@ -75,10 +77,13 @@ def read_envelope(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per landed page: ``page, records, token, list_size, errors, corrupt``.
 
-    Each file is read and parsed once. A page that is not well formed is
-    ``corrupt`` and has nothing else; ``read_oai`` still finds its sound records.
+    Each file, plain or compressed, is read and parsed once. A page that is not well
+    formed is ``corrupt`` and has nothing else; ``read_oai`` still finds its sound records.
     """
     files = spark.read.format("binaryFile").load(path)
+    if not files.filter(F.col("_metadata.file_name").rlike(COMPRESSED)).isEmpty():
+        # Only text files are decompressed as they are read; plain ones are read as they are.
+        files = spark.read.format("text").option("wholetext", True).load(path).withColumnRenamed("value", "content")
     content = F.from_xml(F.col("content").cast("string"), PAGE_SCHEMA)
     parsed = files.select(F.col("_metadata.file_path").alias("page"), content.alias("p"))
     inner = F.col("p.ListRecords")

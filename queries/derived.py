@@ -22,11 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, seq, title, abstract, categories_raw, updated, created, source, lang, m1``."""
-    return spark.sql(
-        r"""
-        select concat('p', cast(d.doc_id div 2 as string)) as id, d.doc_id as seq,
+# Columns of one paper version, from a document ``d``.
+_VERSION = r"""concat('p', cast(d.doc_id div 2 as string)) as id, d.doc_id as seq,
           case when d.doc_id % 13 = 0 then null else split_part(d.text, '\n', 1) end as title,
           case when d.doc_id % 11 = 0 then null else d.text end as abstract,
           concat(d.lang, '.', d.source, ' ', d.lang) as categories_raw,
@@ -37,15 +34,30 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
                  then cast(date_add(date'2018-01-01', cast(d.doc_id * 7 % 2500 as int)) as string)
                else concat(cast(date_add(date'2018-01-01', cast(d.doc_id * 7 % 2500 as int)) as string),
                            'T00:00:00Z') end as created,
-          d.source, d.lang,
+          d.source, d.lang"""
+
+
+def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, seq, title, abstract, categories_raw, updated, created, source, lang, m1``."""
+    return spark.sql(
+        f"""
+        select {_VERSION},
           case when d.doc_id % 7 = 1 then transform(e.embedding, x -> float(0)) else e.embedding end as m1
-        from {documents} d left join {embeddings} e on e.vec_id = d.doc_id
+        from {{documents}} d left join {{embeddings}} e on e.vec_id = d.doc_id
         """,
         documents=table(spark, sf_dir, "documents"),
         embeddings=table(spark, sf_dir, "embeddings"),
     )
 
 
+def bare_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``papers`` without ``m1``; documents and vectors meet only if vectors repeat an id, and rows with it."""
+    ids = table(spark, sf_dir, "embeddings").filter("vec_id is not null").groupBy("vec_id").count()
+    if not ids.filter("count > 1").isEmpty():
+        return papers(spark, sf_dir).drop("m1")
+    return spark.sql(f"select {_VERSION} from {{documents}} d", documents=table(spark, sf_dir, "documents"))
+
+
 PAPERS = r"""papers as (
   select 'p' || (d.doc_id // 2)::varchar as id, d.doc_id as seq,
     case when d.doc_id % 13 = 0 then null else split_part(d.text, chr(10), 1) end as title,

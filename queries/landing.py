@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.session import shared_dir
-from queries.derived import papers
+from paperloom.session import open_writers, shared_dir
+from queries.derived import bare_papers, papers, table
 
 STAMP = "coalesce(updated, substr(created, 1, 10), '2019-01-01')"
 
@@ -14,10 +14,10 @@ def land_pages(spark, sf_dir, trailers: bool = True) -> str:
     """Harvest pages of every paper version, one folder per language.
 
     Records of one source are deleted ones. Trailers announce the number of records; that
-    of the German list is too large and the Spanish list ends in an error.
+    of the German list is too large and the Spanish list ends in an error. Pages are gzipped.
     """
     root = shared_dir(spark, "landed-pages")
-    rows = papers(spark, sf_dir)
+    rows = bare_papers(spark, sf_dir)
     words = F.split(F.coalesce("title", F.lit("")), " ")
     authors = F.transform(
         words, lambda w: F.struct(w.alias("keyname"), F.when(~w.endswith("."), F.col("lang")).alias("forenames"))
@@ -38,7 +38,9 @@ def land_pages(spark, sf_dir, trailers: bool = True) -> str:
         F.when(deleted, "deleted").alias("_status"),
     )
     records = rows.select("lang", header.alias("header"), F.when(~deleted, F.struct(paper.alias("arXiv"))).alias("metadata"))
-    _append(records, root, "record")
+    # Documents scanned in enough parts are written where they are read; others are spread first.
+    tasks = spark.sparkContext.defaultParallelism
+    _append(records if table(spark, sf_dir, "documents").rdd.getNumPartitions() >= tasks else records.repartition(tasks), root, "record")
     if trailers:
         lists = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
         size = F.col("n") + F.when(F.col("lang") == "de", 5).otherwise(0)
@@ -50,9 +52,9 @@ def land_pages(spark, sf_dir, trailers: bool = True) -> str:
 
 def _append(df: DataFrame, root: str, tag: str) -> None:
     # A page of a harvest holds a limited number of records.
-    spread = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    writer = spread.write.format("xml").mode("append").option("rootTag", "ListRecords").option("rowTag", tag)
-    writer.option("maxRecordsPerFile", 1000).partitionBy("lang").save(root)
+    writer = df.write.format("xml").mode("append").option("rootTag", "ListRecords").option("rowTag", tag)
+    with open_writers(df.sparkSession):
+        writer.option("maxRecordsPerFile", 1000).option("compression", "gzip").partitionBy("lang").save(root)
 
 
 #: Items of one landed feed.
