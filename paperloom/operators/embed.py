@@ -71,28 +71,32 @@ def embed(
         except Exception as exc:
             encode, broken = None, f"{not_started}: {exc}"
         for arrow in batches:
-            texts = arrow.column(arrow.num_columns - 1).to_pylist()
-            flat, lengths, errors = [], [], []
-            for at in range(0, len(texts), batch_size):
-                batch = texts[at : at + batch_size]
+            for at in range(0, arrow.num_rows, batch_size):
+                part = arrow.slice(at, batch_size)
+                texts = part.column(part.num_columns - 1).to_pylist()
                 found, problem = [], broken
                 if encode is not None:
                     try:
-                        found = [np.asarray(v, dtype=np.float32) for v in encode(batch)]
+                        found = [np.asarray(v, dtype=np.float32) for v in encode(texts)]
                     except Exception as exc:
                         found, problem = [], f"encoder failed: {exc}"
-                for k in range(len(batch)):
+                flat, lengths, errors = [], [], []
+                for k in range(len(texts)):
                     size = found[k].size if k < len(found) else 0
                     good = size == dim and found[k].ndim == 1
                     errors.append(problem or (None if good else f"vector length {size} is not {dim}"))
                     lengths.append(dim if good else 0)
                     if good:
                         flat.append(found[k])
-            values = np.concatenate(flat) if flat else np.empty(0, np.float32)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float32()))
-            kept = [arrow.column(k) for k in range(arrow.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, vectors, pa.array(errors, pa.string())], names=names)
+                values = np.concatenate(flat) if flat else np.empty(0, np.float32)
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                vectors = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float32()))
+                # Copies: whoever holds a part that was handed out does not hold the whole Arrow batch with it.
+                own = pa.array(np.arange(len(texts)))
+                kept = [part.column(k).take(own) for k in range(part.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*kept, vectors, pa.array(errors, pa.string())], names=names)
+            # Let go before the next Arrow batch is read, so that a task holds one at a time.
+            arrow = part = texts = kept = None
 
     raw = rows.mapInArrow(run, schema)
     fixed = raw.withColumn("vector", repair("vector", dim))
