@@ -11,6 +11,7 @@ from queries.landing import land_pages
 from test_sources import _page, _record, pages  # noqa: F401
 from test_whole_pages import _rows
 
+
 def _tables(spark, root, vec_ids):
     text = F.concat(F.lit("Title "), "doc_id", F.lit("\n"), F.repeat(F.lit("some words of a text "), 200))
     docs = spark.range(60).select(
